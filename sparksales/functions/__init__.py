@@ -6,6 +6,7 @@ from .parsing import (
     finite_or_null,
     is_filled,
     month_key,
+    month_start,
     normalized,
     parse_date,
     parse_double,
@@ -21,6 +22,7 @@ __all__ = [
     "finite_or_null",
     "is_filled",
     "month_key",
+    "month_start",
     "normalized",
     "parse_date",
     "parse_double",

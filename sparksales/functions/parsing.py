@@ -20,8 +20,8 @@ def is_filled(text: Column) -> Column:
 
 
 def normalized(text: Column) -> Column:
-    """Key for case-insensitive comparison of flags."""
-    return F.lower(clean(text))
+    """Key for case-insensitive comparison of flags, on text that ``clean`` has seen."""
+    return F.lower(F.trim(text))
 
 
 def parse_long(text: Column) -> Column:
@@ -54,5 +54,10 @@ def parse_date(text: Column, clamp: bool = False) -> Column:
     return F.least(F.date_add(first, day - 1), F.last_day(first))
 
 
+def month_start(date: Column) -> Column:
+    """Month as a date: a cheaper grouping key than text. Format it after grouping."""
+    return F.trunc(date, "MM")
+
+
 def month_key(date: Column) -> Column:
     return F.date_format(date, "yyyy-MM")

@@ -1,22 +1,19 @@
-"""Promotion-id lists: comma separated, padded, sometimes with empty items."""
+"""Promotion-id lists: comma separated, padded with spaces, sometimes with empty items."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .parsing import clean
 
-
-def _items(text: Column) -> Column:
-    items = F.transform(F.split(F.coalesce(text, F.lit("")), ","), clean)
-    return F.filter(items, lambda item: F.length(item) > 0)
+def _parts(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), ",")
 
 
 def promotion_list(text: Column) -> Column:
     """Distinct promotion ids of a row, in order of first appearance."""
-    return F.array_distinct(_items(text))
+    return F.array_distinct(F.filter(F.transform(_parts(text), lambda item: F.trim(item)), lambda item: F.length(item) > 0))
 
 
 def promotion_count(text: Column) -> Column:
     """Number of promotion ids of a row; repeated ids count each time."""
-    return F.size(_items(text)).cast("bigint")
+    return F.size(F.filter(_parts(text), lambda item: F.length(F.trim(item)) > 0)).cast("bigint")

@@ -6,8 +6,6 @@ from itertools import chain
 
 from pyspark.sql import Column, functions as F
 
-from .parsing import clean
-
 # Size -> rank.
 SIZE_RANKS = {
     "FREE": 0,
@@ -27,4 +25,4 @@ UNKNOWN_RANK = -1
 
 def size_rank(size: Column) -> Column:
     ranks = F.create_map(*[F.lit(part) for part in chain.from_iterable(SIZE_RANKS.items())])
-    return F.coalesce(F.try_element_at(ranks, F.upper(clean(size))), F.lit(UNKNOWN_RANK))
+    return F.coalesce(F.try_element_at(ranks, F.upper(F.trim(size))), F.lit(UNKNOWN_RANK))

@@ -101,8 +101,8 @@ def city_qualifying_pct(
     """Per city: cancelled standard rows, how many qualify, and the percentage.
 
     A row can only qualify if it is below its state's average and lists enough ids,
-    so every other row is reduced to a count per city at once. The remaining rows
-    collapse to one per (city, id list) before ids are looked up.
+    so every other row loses its list and is reduced to a count per city. The
+    remaining rows collapse to one per (city, id list) before ids are looked up.
     """
     valid = stage(valid_promotions(sales, min_days, row_key))
     averages = stage(state_reference_avg(sales, row_key))
@@ -112,11 +112,11 @@ def city_qualifying_pct(
     may_qualify = (F.col("amount") < F.col("reference_avg_amount")) & (F.size("ids") >= min_promotions)
     lists = (
         lookup_join(rows, averages, "state", ["city", "amount"], "left")
-        .groupBy("city", F.when(may_qualify, F.col("ids")).otherwise(F.array().cast("array<string>")).alias("ids"))
+        .groupBy("city", F.when(may_qualify, F.col("ids")).alias("ids"))
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
     counted = _count_valid(lists, "ids", valid, ["city", "ids"], F.max("row_count").alias("row_count"))
-    qualifies = (F.size("ids") >= min_promotions) & (F.col("valid_promotion_count") >= min_promotions)
+    qualifies = F.col("ids").isNotNull() & (F.col("valid_promotion_count") >= min_promotions)
     n = F.col("cancelled_standard_order_count")
     return (
         counted.groupBy("city")

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import SIZE_RANKS, clean, is_filled, month_key, size_rank
+from ..functions import SIZE_RANKS, is_filled, month_key, month_start, size_rank
 
 MIN_RANK = SIZE_RANKS["XXL"]
 
 
 def style_records(sales: DataFrame) -> DataFrame:
-    """Rows with a date, style, SKU, state and size. Status and quantity play no part."""
+    """Rows with a date, style, SKU, state and size, ``month`` being the first of the month.
+
+    Status and quantity play no part.
+    """
     return sales.filter(
         F.col("order_date").isNotNull()
         & is_filled(F.col("style"))
@@ -18,8 +21,8 @@ def style_records(sales: DataFrame) -> DataFrame:
         & is_filled(F.col("state"))
         & is_filled(F.col("size"))
     ).select(
-        month_key(F.col("order_date")).alias("month"),
-        F.upper(clean(F.col("state"))).alias("state"),
+        month_start(F.col("order_date")).alias("month"),
+        F.upper(F.trim(F.col("state"))).alias("state"),
         "style",
         "sku",
         size_rank(F.col("size")).alias("size_rank"),
@@ -37,6 +40,7 @@ def style_variety(sales: DataFrame, min_rank: int = MIN_RANK) -> DataFrame:
         .groupBy("month", "state", "style")
         .agg(F.countDistinct("sku").alias("variety"), F.max("size_rank").alias("max_size_rank"))
         .filter(F.col("max_size_rank") >= min_rank)
+        .withColumn("month", month_key(F.col("month")))
     )
 
 

@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import Moments, is_filled, month_key, promotion_count
+from ..functions import Moments, is_filled, month_key, month_start, promotion_count
 from ..operators import approx_percentiles, count_histogram, with_percentiles
 from ..operators.percentiles import DEFAULT_ACCURACY, DEFAULT_LEVELS, METHODS
 
@@ -23,30 +23,34 @@ _MOMENTS = Moments("amount")
 
 
 def promotion_orders(sales: DataFrame, row_key: Sequence[str] = ("row_id",)) -> DataFrame:
-    """Keyed, dated rows with a SKU: row key, month, sku, amount, promotion_count."""
+    """Keyed, dated rows with a SKU: row key, first of the month, sku, amount, promotion_count."""
     known = F.col("order_date").isNotNull() & is_filled(F.col("sku"))
     for name in row_key:
         known = known & F.col(name).isNotNull()
     return sales.filter(known).select(
         *row_key,
-        month_key(F.col("order_date")).alias("month"),
+        month_start(F.col("order_date")).alias("month"),
         "sku",
         "amount",
         promotion_count(F.col("promotion_ids")).alias("promotion_count"),
     )
 
 
-def _histogram(orders: DataFrame) -> DataFrame:
-    return count_histogram(orders, GROUP, "promotion_count", _MOMENTS.first(F.col("amount")))
+def _histogram(orders: DataFrame, *extra: Column) -> DataFrame:
+    histogram = count_histogram(orders, GROUP, "promotion_count", extra)
+    return histogram.withColumn("month", month_key(F.col("month")))
+
+
+def _amount_histogram(orders: DataFrame) -> DataFrame:
+    return _histogram(orders, *_MOMENTS.first(F.col("amount")))
 
 
 def thresholds(
     orders: DataFrame, levels: Mapping[str, float] = DEFAULT_LEVELS, methods: Sequence[str] = METHODS
 ) -> DataFrame:
     """Promotion-count threshold per (month, sku, method, level), from ``promotion_orders``."""
-    histogram = count_histogram(orders, GROUP, "promotion_count")
     return (
-        with_percentiles(histogram, GROUP, "promotion_count", levels, methods)
+        with_percentiles(_histogram(orders), GROUP, "promotion_count", levels, methods)
         .filter("last_in_group")
         .select(*GROUP, F.explode("thresholds").alias("level"))
         .select(*GROUP, "level.*")
@@ -59,7 +63,7 @@ def approx_thresholds(
 ) -> DataFrame:
     """The approximate thresholds as ``percentile_approx`` sketches over rows."""
     found = approx_percentiles(orders, GROUP, "promotion_count", levels, accuracy)
-    return found.withColumnRenamed("threshold", "promotion_threshold")
+    return found.withColumn("month", month_key(F.col("month"))).withColumnRenamed("threshold", "promotion_threshold")
 
 
 def _summarise(qualifying: DataFrame) -> DataFrame:
@@ -81,7 +85,7 @@ def _summarise(qualifying: DataFrame) -> DataFrame:
 
 def deviation_above_thresholds(orders: DataFrame, given: DataFrame) -> DataFrame:
     """Apply a thresholds relation from elsewhere: rows at or above it, and their deviation."""
-    joined = _histogram(orders).join(given, GROUP)
+    joined = _amount_histogram(orders).join(given, GROUP)
     return _summarise(joined.filter(F.col("promotion_count").cast("double") >= F.col("promotion_threshold")))
 
 
@@ -92,9 +96,8 @@ def threshold_stddev(
     row_key: Sequence[str] = ("row_id",),
 ) -> DataFrame:
     """Both methods and all levels in one pass: threshold, qualifying rows, deviation."""
-    histogram = _histogram(promotion_orders(sales, row_key))
     qualifying = (
-        with_percentiles(histogram, GROUP, "promotion_count", levels, methods)
+        with_percentiles(_amount_histogram(promotion_orders(sales, row_key)), GROUP, "promotion_count", levels, methods)
         .withColumn("level", F.explode("thresholds"))
         .filter(F.col("promotion_count").cast("double") >= F.col("level.threshold"))
         .select("*", "level.*")

@@ -38,11 +38,13 @@ def sales_from_tables(spark: SparkSession, folder: str, sku: str = "p_partkey")
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
+    # The order side is put together first, so the far larger lineitem moves only
+    # for its own keys. Both sides grow alike, hence a merge join at every scale.
     buyers = table("customer").join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    placed = table("orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
     lines = (
         table("lineitem")
-        .join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(placed.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
     )
     flag = F.col("l_returnflag")
