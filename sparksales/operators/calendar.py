@@ -12,5 +12,8 @@ def trailing_day_buckets(df: DataFrame, date: str, length: str, bucket: str = "w
     existing rows could not produce. The fan-out is ``length``, so aggregate to one
     row per day first.
     """
-    days = F.sequence(F.date_add(F.col(date), F.lit(1)), F.date_add(F.col(date), F.col(length)))
-    return df.withColumn(bucket, F.explode(days)).drop(date)
+    return (
+        df.withColumn("days_later", F.explode(F.sequence(F.lit(1), F.col(length))))
+        .withColumn(bucket, F.date_add(F.col(date), F.col("days_later")))
+        .drop(date, "days_later")
+    )

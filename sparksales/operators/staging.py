@@ -17,7 +17,7 @@ _local_folders: dict[str, str] = {}
 
 
 def _shared_folder(spark: SparkSession) -> str:
-    configured = spark.conf.get(_CONF, None)
+    configured = spark.conf.get(_CONF, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):

@@ -25,9 +25,12 @@ def _known(row_key: Sequence[str]) -> Column:
 
 def promotion_active_period(sales: DataFrame, row_key: Sequence[str] = ("row_id",)) -> DataFrame:
     """First and last order date per promotion id, over dated rows."""
+    # Repeated ids change neither date, so the items need no per-row deduplication.
     return (
         sales.filter(_known(row_key) & F.col("order_date").isNotNull())
-        .select("order_date", F.explode(promotion_list(F.col("promotion_ids"))).alias("promotion_id"))
+        .select("order_date", F.explode(F.split("promotion_ids", ",")).alias("item"))
+        .select("order_date", F.trim("item").alias("promotion_id"))
+        .filter(is_filled(F.col("promotion_id")))
         .groupBy("promotion_id")
         .agg(
             F.min("order_date").alias("first_appearance_date"),
@@ -68,15 +71,16 @@ def _candidates(sales: DataFrame, row_key: Sequence[str]) -> DataFrame:
     )
 
 
-def _count_valid(df: DataFrame, ids: str, valid: DataFrame, keys: Sequence[str], *carried: Column) -> DataFrame:
-    """Valid ids per ``keys`` group, 0 where none; the array ``ids`` has no duplicates.
+def _count_valid(df: DataFrame, valid: DataFrame, keys: Sequence[str], *carried: Column) -> DataFrame:
+    """Valid promotions per row of ``df``, which has unique ``keys`` and a ``promotion_ids`` text.
 
     One pass: ids are exploded, looked up and counted, so no row is joined back. A
     row without ids keeps one filler that no id can equal and that differs between
     rows, which keeps those rows from meeting in one task.
     """
     filler = F.array(F.concat(F.lit("\u0000"), F.xxhash64(*keys).cast("string")))
-    exploded = df.withColumn("promotion_id", F.explode(F.when(F.size(ids) > 0, F.col(ids)).otherwise(filler)))
+    listed = df.withColumn("ids", promotion_list(F.col("promotion_ids")))
+    exploded = listed.withColumn("promotion_id", F.explode(F.when(F.size("ids") > 0, F.col("ids")).otherwise(filler)))
     flagged = lookup_join(exploded, valid.withColumn("is_valid", F.lit(True)), "promotion_id", keys, "left")
     return flagged.groupBy(*keys).agg(F.count("is_valid").alias("valid_promotion_count"), *carried)
 
@@ -88,8 +92,7 @@ def valid_promotion_counts(
 ) -> DataFrame:
     """Number of distinct valid promotions of every cancelled standard row."""
     valid = stage(valid_promotions(sales, min_days, row_key))
-    rows = _candidates(sales, row_key).select(*row_key, promotion_list(F.col("promotion_ids")).alias("ids"))
-    return _count_valid(rows, "ids", valid, list(row_key))
+    return _count_valid(_candidates(sales, row_key).select(*row_key, "promotion_ids"), valid, row_key)
 
 
 def city_qualifying_pct(
@@ -100,23 +103,26 @@ def city_qualifying_pct(
 ) -> DataFrame:
     """Per city: cancelled standard rows, how many qualify, and the percentage.
 
-    A row can only qualify if it is below its state's average and lists enough ids,
-    so every other row loses its list and is reduced to a count per city. The
-    remaining rows collapse to one per (city, id list) before ids are looked up.
+    A row can only qualify if it is below its state's average and its list has
+    enough items, so every other row loses its list and is reduced to a count per
+    city. The remaining rows collapse to one per (city, list) before lists are
+    taken apart and looked up.
     """
     valid = stage(valid_promotions(sales, min_days, row_key))
     averages = stage(state_reference_avg(sales, row_key))
 
-    ids = promotion_list(F.col("promotion_ids"))
-    rows = _candidates(sales, row_key).select("city", "state", "amount", ids.alias("ids"))
-    may_qualify = (F.col("amount") < F.col("reference_avg_amount")) & (F.size("ids") >= min_promotions)
+    text = F.coalesce(F.col("promotion_ids"), F.lit(""))
+    rows = _candidates(sales, row_key).select("city", "state", "amount", text.alias("promotion_ids"))
+    may_qualify = (F.col("amount") < F.col("reference_avg_amount")) & (
+        F.size(F.split("promotion_ids", ",")) >= min_promotions
+    )
     lists = (
         lookup_join(rows, averages, "state", ["city", "amount"], "left")
-        .groupBy("city", F.when(may_qualify, F.col("ids")).alias("ids"))
+        .groupBy("city", F.when(may_qualify, F.col("promotion_ids")).alias("promotion_ids"))
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
-    counted = _count_valid(lists, "ids", valid, ["city", "ids"], F.max("row_count").alias("row_count"))
-    qualifies = F.col("ids").isNotNull() & (F.col("valid_promotion_count") >= min_promotions)
+    counted = _count_valid(lists, valid, ["city", "promotion_ids"], F.max("row_count").alias("row_count"))
+    qualifies = F.col("promotion_ids").isNotNull() & (F.col("valid_promotion_count") >= min_promotions)
     n = F.col("cancelled_standard_order_count")
     return (
         counted.groupBy("city")
