@@ -22,7 +22,7 @@ def lookup_join(
     broadcast_bytes: int = BROADCAST_BYTES,
     repeated_bytes: int = REPEATED_BYTES,
 ) -> DataFrame:
-    """Join ``lookup`` (staged, one row per key) onto ``big`` without moving a hot key to one task.
+    """Join ``lookup`` (from ``stage_lookup``) onto ``big`` without moving a hot key to one task.
 
     * ``lookup`` is broadcast when its files hold at most ``broadcast_bytes``.
     * Beyond that it is repeated once per salt, and each row of ``big`` picks a salt

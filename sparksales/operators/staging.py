@@ -42,13 +42,18 @@ def hadoop_path(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, compression: str = "snappy") -> DataFrame:
     spark = df.sparkSession
     folder = new_folder(spark)
-    df.write.parquet(folder)
+    df.write.parquet(folder, compression=compression)
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def stage_lookup(df: DataFrame) -> DataFrame:
+    """Stage a relation with one row per key, uncompressed: its files are at least as large as its keys."""
+    return stage(df, compression="none")
+
+
 def staged_bytes(df: DataFrame) -> int:
     """Size of a relation as Catalyst knows it: file bytes for a staged one."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

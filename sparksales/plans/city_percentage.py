@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import Moments, is_filled, normalized, promotion_list
-from ..operators import lookup_join, stage
+from ..operators import lookup_join, stage_lookup
 
 MIN_ACTIVE_DAYS = 2
 MIN_VALID_PROMOTIONS = 3
@@ -91,7 +91,7 @@ def valid_promotion_counts(
     row_key: Sequence[str] = ("row_id",),
 ) -> DataFrame:
     """Number of distinct valid promotions of every cancelled standard row."""
-    valid = stage(valid_promotions(sales, min_days, row_key))
+    valid = stage_lookup(valid_promotions(sales, min_days, row_key))
     return _count_valid(_candidates(sales, row_key).select(*row_key, "promotion_ids"), valid, row_key)
 
 
@@ -108,8 +108,8 @@ def city_qualifying_pct(
     city. The remaining rows collapse to one per (city, list) before lists are
     taken apart and looked up.
     """
-    valid = stage(valid_promotions(sales, min_days, row_key))
-    averages = stage(state_reference_avg(sales, row_key))
+    valid = stage_lookup(valid_promotions(sales, min_days, row_key))
+    averages = stage_lookup(state_reference_avg(sales, row_key))
 
     text = F.coalesce(F.col("promotion_ids"), F.lit(""))
     rows = _candidates(sales, row_key).select("city", "state", "amount", text.alias("promotion_ids"))

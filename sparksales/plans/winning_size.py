@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import Moments, finite_or_null, is_filled, normalized
-from ..operators import best_per_group, lookup_join, stage, trailing_day_buckets
+from ..operators import best_per_group, lookup_join, stage, stage_lookup, trailing_day_buckets
 
 BOUGHT_THRESHOLD = 10_000
 SHORT_WINDOW = 5
@@ -80,7 +80,7 @@ def _buckets(daily: DataFrame, lengths: DataFrame) -> DataFrame:
 def staged_windows(sales: DataFrame, threshold: int, short: int, long: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(daily, lengths, buckets); the first two are staged, so this runs the scan."""
     daily = stage(daily_summary(sales))
-    lengths = stage(state_window_length(daily, threshold, short, long))
+    lengths = stage_lookup(state_window_length(daily, threshold, short, long))
     return daily, lengths, _buckets(daily, lengths)
 
 
