@@ -7,13 +7,13 @@ from pyspark.sql import Column, functions as F
 
 def promotion_list(text: Column) -> Column:
     """Distinct promotion ids of a row, in order of first appearance."""
-    items = F.transform(F.split(F.coalesce(text, F.lit("")), ","), lambda item: F.trim(item))
-    return F.array_distinct(F.filter(items, lambda item: F.length(item) > 0))
+    items = F.split(F.trim(F.coalesce(text, F.lit(""))), " *, *")
+    return F.array_distinct(F.array_remove(items, ""))
 
 
 def promotion_count(text: Column) -> Column:
     """Number of promotion ids of a row; repeated ids count each time.
 
-    Counts items that hold more than spaces, without building the list.
+    Counts the places where an item's text begins, without building the list.
     """
     return F.coalesce(F.regexp_count(text, F.lit("[^, ][^,]*")), F.lit(0)).cast("bigint")

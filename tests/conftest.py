@@ -12,7 +12,12 @@ from sparksales import release_staged  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def event_folder(tmp_path_factory):
+    return tmp_path_factory.mktemp("events")
+
+
+@pytest.fixture(scope="session")
+def spark(event_folder):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("sparksales-tests")
@@ -20,6 +25,9 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.eventLog.enabled", "true")
+        .config("spark.eventLog.compress", "false")
+        .config("spark.eventLog.dir", f"file://{event_folder}")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -47,9 +47,18 @@ def test_clean_removes_control_characters(spark):
 
 
 def test_promotions(spark):
-    texts = ["A,A, ,B", " B , A,B", "", None, ",,"]
-    assert evaluate(spark, ss.promotion_list, texts) == [["A", "B"], ["B", "A"], [], [], []]
-    assert evaluate(spark, ss.promotion_count, texts) == [3, 3, 0, 0, 0]
+    texts = ["A,A, ,B", " B , A,B", "", None, ",,", "  ", " a b  c ,d\te, a b  c", "x ,\n, y"]
+    assert evaluate(spark, ss.promotion_list, texts) == [
+        ["A", "B"],
+        ["B", "A"],
+        [],
+        [],
+        [],
+        [],
+        ["a b  c", "d\te"],
+        ["x", "\n", "y"],
+    ]
+    assert evaluate(spark, ss.promotion_count, texts) == [3, 3, 0, 0, 0, 0, 3, 3]
 
 
 def test_size_ranks(spark):

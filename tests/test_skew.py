@@ -1,0 +1,90 @@
+"""With a third of all rows on one state, city, style, SKU, size and promotion, no
+task may receive much more than its share of any shuffle."""
+
+from __future__ import annotations
+
+import json
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+import sparksales as ss
+from sparksales.sources.star_schema import ROW_KEY, sales_from_tables
+
+FOLDER = "/root/testdata/sf0.01"
+PARTITIONS = 32
+SMALL_STAGE = 1500  # records; below that shares are chance
+
+
+@pytest.fixture(scope="module")
+def sales(spark):
+    even = sales_from_tables(spark, FOLDER, sku="p_brand").withColumn("row_id", F.xxhash64(*ROW_KEY))
+    hot = F.pmod(F.col("row_id"), F.lit(3)) == 0
+    for column, value in dict(state="HOT", city="HOT", sku="HOT", style="HOT", size="XXL").items():
+        even = even.withColumn(column, F.when(hot, value).otherwise(F.col(column)))
+    with_hot = even.withColumn(
+        "promotion_ids", F.when(hot, F.concat(F.lit("HOT, A, B, "), "promotion_ids")).otherwise(F.col("promotion_ids"))
+    )
+    return ss.stage(with_hot)
+
+
+@pytest.fixture
+def many_partitions(spark):
+    names = {"spark.sql.shuffle.partitions": str(PARTITIONS), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def records_read(event_folder, group):
+    """Stage id -> shuffle records read per task, for the jobs of one group."""
+    stages, tasks = set(), defaultdict(list)
+    for path in event_folder.rglob("events*"):
+        if path.is_dir():
+            continue
+        for line in path.read_text().splitlines():
+            event = json.loads(line)
+            if event["Event"] == "SparkListenerJobStart":
+                if event.get("Properties", {}).get("spark.jobGroup.id") == group:
+                    stages.update(event["Stage IDs"])
+            elif event["Event"] == "SparkListenerTaskEnd" and event.get("Task Metrics"):
+                tasks[event["Stage ID"]].append(event["Task Metrics"]["Shuffle Read Metrics"]["Total Records Read"])
+    return {stage: tasks[stage] for stage in stages if tasks[stage]}
+
+
+ANALYSES = {
+    "winning_category": lambda sales: ss.winning_category(sales, threshold=1500),
+    "median_variety": ss.median_variety,
+    "city_qualifying_pct": ss.city_qualifying_pct,
+    "valid_promotion_counts": ss.valid_promotion_counts,
+    "threshold_stddev": ss.threshold_stddev,
+}
+
+
+@pytest.mark.parametrize("name", list(ANALYSES))
+def test_no_task_receives_a_hot_group(spark, sales, many_partitions, event_folder, name):
+    spark.sparkContext.setJobGroup(f"skew {name}", name)
+    try:
+        ANALYSES[name](sales).write.format("noop").mode("overwrite").save()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = records_read(event_folder, f"skew {name}")
+    busy = {stage: reads for stage, reads in stages.items() if sum(reads) > SMALL_STAGE}
+    assert busy
+    for reads in busy.values():
+        assert len(reads) == PARTITIONS
+        assert max(reads) < 4 * sum(reads) / PARTITIONS
+
+
+def test_the_probe_sees_skew(spark, sales, many_partitions, event_folder):
+    spark.sparkContext.setJobGroup("skew probe", "rows by state")
+    try:
+        sales.repartition("state").write.format("noop").mode("overwrite").save()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    (reads,) = [reads for reads in records_read(event_folder, "skew probe").values() if sum(reads) > SMALL_STAGE]
+    assert max(reads) > 4 * sum(reads) / PARTITIONS
