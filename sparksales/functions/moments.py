@@ -1,10 +1,15 @@
 """Additive count / sum / sum-of-squares of money amounts, exact where possible.
 
 Variance decides ties between sizes, so it must not depend on the order in which
-tasks add doubles. Amounts with at most two decimals are summed as whole cents in
-decimals, which is exact and order-free. If any amount of a group does not fit
-that grid (more decimals, 10 million or more, NaN, infinity), the whole group falls back
-to the plain double sums that are carried alongside.
+tasks add doubles. Amounts with at most two decimals are summed as whole cents,
+which is exact and order-free. If any amount of a group does not fit that grid (more
+decimals, 10 million or more, NaN, infinity), the whole group falls back to the plain
+double sums that are carried alongside.
+
+A bigint sum of squared cents would overflow in a large group and a decimal sum
+allocates per row, so cents and their squares are summed in pieces of at most 20
+bits. Each piece's bigint sum is safe for 2^43 rows per group, and the pieces are put
+together again as decimals once per group.
 
 All columns are plain sums, so a group can be aggregated in as many steps as the
 plan likes: ``first`` over rows, ``again`` over already aggregated rows.
@@ -15,7 +20,21 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 _CENTS = 100
-_LARGEST_EXACT = 1e7  # cents squared stay below 10^18
+_LARGEST_EXACT = 1e7  # cents fit 30 bits, their squares 60
+_PIECE_BITS = 20
+
+
+def _pieces(value: Column, count: int) -> list[Column]:
+    """``value`` cut into 20-bit pieces, lowest first; the last keeps the sign."""
+    low = [F.shiftright(value, _PIECE_BITS * i).bitwiseAND((1 << _PIECE_BITS) - 1) for i in range(count - 1)]
+    return [*low, F.shiftright(value, _PIECE_BITS * (count - 1))]
+
+
+def _put_together(names: list[str]) -> Column:
+    total = F.lit(0).cast("decimal(38,0)")
+    for i, name in enumerate(names):
+        total = total + F.col(name).cast("decimal(20,0)") * F.lit(1 << (_PIECE_BITS * i))
+    return total.cast("decimal(38,0)")
 
 
 class Moments:
@@ -23,64 +42,61 @@ class Moments:
 
     def __init__(self, prefix: str = "amount"):
         self.count = f"{prefix}_count"
-        self.cents = f"{prefix}_cents"
-        self.cents_squared = f"{prefix}_cents_squared"
+        self.cents = [f"{prefix}_cents_{i}" for i in range(2)]
+        self.squares = [f"{prefix}_squares_{i}" for i in range(3)]
         self.off_grid = f"{prefix}_off_grid"
         self.plain = f"{prefix}_plain"
-        self.plain_squared = f"{prefix}_plain_squared"
+        self.plain_squares = f"{prefix}_plain_squares"
 
     @property
     def columns(self) -> list[str]:
-        return [self.count, self.cents, self.cents_squared, self.off_grid, self.plain, self.plain_squared]
+        return [self.count, *self.cents, *self.squares, self.off_grid, self.plain, self.plain_squares]
 
     def first(self, amount: Column) -> list[Column]:
         """Aggregates over raw rows; null amounts count nowhere."""
         rounded = F.rint(amount * _CENTS)
         on_grid = (F.abs(amount) < _LARGEST_EXACT) & (rounded / _CENTS == amount)
         cents = F.when(on_grid, rounded).cast("bigint")
+        pieces = zip(self.cents + self.squares, _pieces(cents, 2) + _pieces(cents * cents, 3))
         return [
             F.count(amount).alias(self.count),
-            F.coalesce(F.sum(cents.cast("decimal(18,0)")), F.lit(0)).cast("decimal(38,0)").alias(self.cents),
-            F.coalesce(F.sum((cents * cents).cast("decimal(18,0)")), F.lit(0))
-            .cast("decimal(38,0)")
-            .alias(self.cents_squared),
+            *[F.coalesce(F.sum(piece), F.lit(0)).alias(name) for name, piece in pieces],
             F.count(F.when(~on_grid, True)).alias(self.off_grid),
             F.coalesce(F.sum(amount), F.lit(0.0)).alias(self.plain),
-            F.coalesce(F.sum(amount * amount), F.lit(0.0)).alias(self.plain_squared),
+            F.coalesce(F.sum(amount * amount), F.lit(0.0)).alias(self.plain_squares),
         ]
 
     def again(self) -> list[Column]:
         """Aggregates that merge the output of ``first`` (or of ``again``)."""
         return [F.sum(name).alias(name) for name in self.columns]
 
-    def _exact(self) -> Column:
-        return F.col(self.off_grid) == 0
+    def _if_exact(self, exact: Column, plain: Column) -> Column:
+        return F.when(F.col(self.off_grid) == 0, exact).otherwise(plain)
 
     def total(self) -> Column:
-        return F.when(self._exact(), F.col(self.cents).cast("double") / _CENTS).otherwise(F.col(self.plain))
+        return self._if_exact(_put_together(self.cents).cast("double") / _CENTS, F.col(self.plain))
 
     def total_squared(self) -> Column:
-        return F.when(self._exact(), F.col(self.cents_squared).cast("double") / _CENTS**2).otherwise(
-            F.col(self.plain_squared)
-        )
+        return self._if_exact(_put_together(self.squares).cast("double") / _CENTS**2, F.col(self.plain_squares))
 
     def mean(self) -> Column:
         n = F.col(self.count).cast("double")
-        exact = F.col(self.cents).cast("double") / n / _CENTS
-        return F.when(F.col(self.count) > 0, F.when(self._exact(), exact).otherwise(F.col(self.plain) / n))
+        exact = _put_together(self.cents).cast("double") / n / _CENTS
+        return F.when(F.col(self.count) > 0, self._if_exact(exact, F.col(self.plain) / n))
 
     def variance(self) -> Column:
         """Population variance, null without amounts, never negative."""
         n = F.col(self.count).cast("double")
+        cents = _put_together(self.cents)
         spread = F.try_subtract(
-            F.try_multiply(F.col(self.count).cast("decimal(20,0)"), F.col(self.cents_squared)),
-            F.try_multiply(F.col(self.cents), F.col(self.cents)),
+            F.try_multiply(F.col(self.count).cast("decimal(20,0)"), _put_together(self.squares)),
+            F.try_multiply(cents, cents),
         )
-        exact = spread.cast("double") / (n * n) / _CENTS**2
         mean = F.col(self.plain) / n
-        plain = F.greatest(F.lit(0.0), F.col(self.plain_squared) / n - mean * mean)
+        plain = F.greatest(F.lit(0.0), F.col(self.plain_squares) / n - mean * mean)
         # try_* gives null where the exact numerator needs more than 38 digits.
-        return F.when(F.col(self.count) > 0, F.coalesce(F.when(self._exact(), exact), plain))
+        exact = F.coalesce(spread.cast("double") / (n * n) / _CENTS**2, plain)
+        return F.when(F.col(self.count) > 0, self._if_exact(exact, plain))
 
     def deviation(self) -> Column:
         return F.sqrt(self.variance())

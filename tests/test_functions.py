@@ -99,6 +99,14 @@ class TestMoments:
         assert row["total"] == pytest.approx(sum(values))
         assert row["squared"] == pytest.approx(sum(value * value for value in values))
 
+    def test_large_and_negative_amounts_stay_exact(self, spark):
+        got = self.summary(spark, {"a": [9999999.99, -9999999.99, -0.01, 0.01], "b": [-1234567.89] * 3})
+        cents = [999999999, -999999999, -1, 1]
+        assert (got["a"]["total"], got["a"]["mean"]) == (0.0, 0.0)
+        assert got["a"]["squared"] == sum(value * value for value in cents) / 10000
+        assert got["a"]["variance"] == sum(value * value for value in cents) * 4 / 16 / 10000
+        assert (got["b"]["variance"], got["b"]["mean"]) == (0.0, -1234567.89)
+
     def test_not_a_number_spreads(self, spark):
         row = self.summary(spark, {"a": [1.0, float("nan")]})["a"]
         assert row["variance"] != row["variance"]
@@ -108,16 +116,20 @@ class TestMoments:
         # 10^13 amounts, half 9,000,000.00 and half 1.00, as already merged sums.
         n, high, low = 10**13, 900_000_000, 100
         half = n // 2
-        df = spark.createDataFrame(
-            [(n, str(half * (high + low)), str(half * (high * high + low * low)), 0, half * 9000001.0, half * (8.1e13 + 1))],
-            "c bigint, s string, q string, o bigint, p double, pq double",
-        ).select(
-            F.col("c").alias(m.count),
-            F.col("s").cast("decimal(38,0)").alias(m.cents),
-            F.col("q").cast("decimal(38,0)").alias(m.cents_squared),
-            F.col("o").alias(m.off_grid),
-            F.col("p").alias(m.plain),
-            F.col("pq").alias(m.plain_squared),
-        )
+        cents, squares = half * (high + low), half * (high * high + low * low)
+        assert n * squares > 10**38
+        piece = 1 << 20
+        values = {
+            m.count: n,
+            m.cents[0]: cents % piece,
+            m.cents[1]: cents // piece,
+            m.squares[0]: squares % piece,
+            m.squares[1]: squares // piece % piece,
+            m.squares[2]: squares // piece**2,
+            m.off_grid: 0,
+            m.plain: half * 9000001.0,
+            m.plain_squares: half * (8.1e13 + 1),
+        }
+        df = spark.createDataFrame([values])
         (value,) = df.select(m.variance()).first()
         assert value == pytest.approx(4499999.5**2)
