@@ -17,6 +17,8 @@ plan likes: ``first`` over rows, ``again`` over already aggregated rows.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F
 
 _CENTS = 100
@@ -31,10 +33,10 @@ def _pieces(value: Column, count: int) -> list[Column]:
 
 
 def _put_together(names: list[str]) -> Column:
-    total = F.lit(0).cast("decimal(38,0)")
-    for i, name in enumerate(names):
-        total = total + F.col(name).cast("decimal(20,0)") * F.lit(1 << (_PIECE_BITS * i))
-    return total.cast("decimal(38,0)")
+    total = F.col(names[0]).cast("decimal(20,0)")
+    for i, name in enumerate(names[1:], start=1):
+        total = total + F.col(name) * Decimal(1 << (_PIECE_BITS * i))
+    return total
 
 
 class Moments:
@@ -56,14 +58,15 @@ class Moments:
         """Aggregates over raw rows; null amounts count nowhere."""
         rounded = F.rint(amount * _CENTS)
         on_grid = (F.abs(amount) < _LARGEST_EXACT) & (rounded / _CENTS == amount)
-        cents = F.when(on_grid, rounded).cast("bigint")
+        cents = F.when(on_grid, rounded).otherwise(0.0).cast("bigint")
+        known = F.coalesce(amount, F.lit(0.0))
         pieces = zip(self.cents + self.squares, _pieces(cents, 2) + _pieces(cents * cents, 3))
         return [
             F.count(amount).alias(self.count),
-            *[F.coalesce(F.sum(piece), F.lit(0)).alias(name) for name, piece in pieces],
+            *[F.sum(piece).alias(name) for name, piece in pieces],
             F.count(F.when(~on_grid, True)).alias(self.off_grid),
-            F.coalesce(F.sum(amount), F.lit(0.0)).alias(self.plain),
-            F.coalesce(F.sum(amount * amount), F.lit(0.0)).alias(self.plain_squares),
+            F.sum(known).alias(self.plain),
+            F.sum(known * known).alias(self.plain_squares),
         ]
 
     def again(self) -> list[Column]:
