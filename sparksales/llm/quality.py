@@ -316,3 +316,16 @@ def classify(
     described = stage(document_statistics(docs, text, keep))
     model = fit(described, labels, learn, key=key, **settings)
     return score(described, model, threshold)
+
+
+def accepted(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "text", key: str = "doc_id", **settings) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with all their columns.
+
+    The statistics of a row find their way back to it by a hash of id and text, so rows
+    of one id are judged by their own texts.
+    """
+    row_hash = F.xxhash64(key, text)
+    hashed = docs.withColumn("_row_hash", row_hash)
+    scored = classify(hashed, labels, learn, text, key, (key, "_row_hash"), **settings)
+    rejected = stage(scored.where("predicted = 0").select("_row_hash").distinct())
+    return hashed.join(rejected, "_row_hash", "left_anti").drop("_row_hash")
