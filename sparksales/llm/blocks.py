@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 BLOCK_BYTES = 8 << 20
 NULL_KEY = -(1 << 63)
-PACKED = "block int, kind int"
 
 
 def block_count(df: DataFrame, size: Column, block_bytes: int = BLOCK_BYTES) -> int:
@@ -29,8 +28,8 @@ def block_count(df: DataFrame, size: Column, block_bytes: int = BLOCK_BYTES) ->
     return max(4 * partitions, math.ceil(total / block_bytes))
 
 
-def text_blocks(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, int]:
-    """(block, doc_key, row_hash, text) of every row, and the number of blocks.
+def text_blocks(docs: DataFrame, text: str, key: str, keep: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+    """(block, doc_key, row_hash, no_key, text, keep_...) of every row, and the number of blocks.
 
     A null key becomes the smallest bigint, a null text an empty one. Rows that are
     equal in key and text have equal ``row_hash`` and meet in one block.
@@ -45,6 +44,7 @@ def text_blocks(docs: DataFrame, text: str = "text", key: str = "doc_id") -> tup
         row_hash.alias("row_hash"),
         F.col(key).isNull().alias("no_key"),
         body.alias("text"),
+        *[F.col(name).alias(f"keep_{name}") for name in keep if name != key],
     ), count
 
 
@@ -81,7 +81,8 @@ def pack(schema: pa.Schema, to: np.ndarray, constants: dict[str, int], columns:
     bounds = np.r_[first, len(to)]
     rows = {schema.names[0]: pa.array(sorted_to[first].astype(np.int32))}
     rows |= {name: pa.array(np.full(len(first), value, np.int32)) for name, value in constants.items()}
-    rows |= {name: _cells(values[order], bounds) for name, values in columns.items()}
+    # Columns without entries stay empty.
+    rows |= {name: _cells(values[order], bounds) for name, values in columns.items() if len(values)}
     empty = pa.array([b""] * len(first), pa.binary())
     return pa.table({name: rows.get(name, empty) for name in schema.names}, schema=schema)
 
@@ -109,5 +110,7 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def covered(starts: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
     """Boolean mask of the positions inside any [start, end)."""
-    steps = np.bincount(starts, minlength=size + 1) - np.bincount(ends, minlength=size + 1)
-    return np.cumsum(steps[:size]) > 0
+    steps = np.zeros(size + 1, np.int32)
+    np.add.at(steps, starts, 1)
+    np.subtract.at(steps, ends, 1)
+    return np.cumsum(steps[:size], dtype=np.int32) > 0

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, conversations, language, quality, similarity_search, simhash
+from . import byte_bpe, conversations, language, quality, recompression, similarity_search, simhash, suffix_array
 from .tables import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -49,6 +49,11 @@ def encoded(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def without_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = recompression.remove_repeats(table(spark, folder, "documents"), window=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def chats(spark: SparkSession, folder: str) -> DataFrame:
     return conversations.collapse_and_render(table(spark, folder, "conversations"))
 
@@ -59,6 +64,37 @@ def neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("score", F.round("score", 12))
 
 
+def without_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_array.remove_repeats(table(spark, folder, "documents"), window=200)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+REPEATS_SQL = r"""
+WITH words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+  FROM documents),
+windows AS (
+  SELECT doc_id, s, array_to_string(ws[s : s + 19], ' ') AS w FROM words, range(1, len(ws) - 18) AS r(s)),
+earliest AS (
+  SELECT w, min(struct_pack(d := doc_id, s := s)) AS earlier FROM windows GROUP BY w HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, s + k AS p FROM windows JOIN earliest USING (w), range(0, 20) AS r(k)
+  WHERE struct_pack(d := doc_id, s := s) > earlier),
+kept AS (
+  SELECT doc_id, p, ws[p] AS w FROM words, range(1, len(ws) + 1) AS r(p)
+  WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = words.doc_id AND g.p = r.p)),
+texts AS (SELECT doc_id, string_agg(w, ' ' ORDER BY p) AS t, count(*) AS n FROM kept GROUP BY doc_id)
+SELECT words.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN texts USING (doc_id)
+"""
+
 CHATS_SQL = """
 WITH said AS (
   SELECT DISTINCT conv_id, turn, role, text FROM conversations),
@@ -99,10 +135,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_simhash_near_dedup": near_duplicates,
         "op4_language_id": languages,
         "op5_byte_bpe": encoded,
+        "op6_substring_dedup": without_repeats,
         "op7_chat_formatting": chats,
+        "op9_suffix_array_dedup": without_repeated_bytes,
         "op10_nearest_neighbours": neighbours,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_chat_formatting": CHATS_SQL, "op10_nearest_neighbours": NEIGHBOURS_SQL}
+    return {
+        "op6_substring_dedup": REPEATS_SQL,
+        "op7_chat_formatting": CHATS_SQL,
+        "op10_nearest_neighbours": NEIGHBOURS_SQL,
+    }
