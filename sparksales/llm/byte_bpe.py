@@ -17,8 +17,10 @@ the table, whatever their names, are not looked at.
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -28,11 +30,15 @@ from .shipping import map_batches
 from .tables import with_fields
 
 SLICE_BYTES = 4 << 20
-CACHED_PIECES = 300_000
+CACHED_PIECES = 700_000
 CACHED_PAIRS = 1_000_000
+_NONE = 1 << 60
+_TAILS = frozenset(".,;:!?")
 
-# Characters next to which a single space always starts a new match of the split
-# pattern: printable ASCII and Latin letters, none of them white space.
+# With this pattern a single space between two characters that are no white space always
+# starts a new match, and a run of letters is one. Other patterns are applied as they are.
+SPACE_LED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Printable ASCII and Latin letters, none of them white space.
 _PLAIN = "!-~À-ɏ"
 _ODD_SPACE = regex.compile(rf"(?<![{_PLAIN}]) | (?![{_PLAIN}])")
 
@@ -51,16 +57,55 @@ class PrefixEncoder:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         self._pairs: dict[tuple[int, int], bool] = {}
+        self._halves: dict[int, tuple[int, int] | None] = {}
+        self._endings = ahocorasick.Automaton()
+        for token, rank in ranks.items():
+            self._endings.add_word(token.decode("latin-1"), (rank, len(token)))
+        self._endings.make_automaton()
+
+    def halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge is ``token``; None for a byte or a token no merge makes."""
+        if token not in self._halves:
+            data = self.tokens[token]
+            parts = [data[i : i + 1] for i in range(len(data))]
+            while len(parts) > 2:
+                best, at = min((self.ranks.get(parts[i] + parts[i + 1], _NONE), i) for i in range(len(parts) - 1))
+                if best == _NONE:
+                    break
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            self._halves[token] = tuple(self.ranks[part] for part in parts) if len(parts) == 2 else None
+        return self._halves[token]
+
+    def _edge(self, token: int, side: int) -> list[int]:
+        """The tokens that stand at one end of ``token`` while it grows, from a byte to itself."""
+        found = [token]
+        while (halves := self.halves(found[-1])) is not None:
+            found.append(halves[side])
+        return found[::-1]
 
-    def merged(self, data: bytes) -> list[int]:
-        """The merges applied one by one, lowest rank first; for short data."""
-        parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            best, at = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-            if best == 1 << 60:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ranks[part] for part in parts]
+    def made_by_merges(self, token: int) -> bool:
+        return len(self.tokens[token]) == 1 or self.halves(token) is not None
+
+    def _stays(self, before: int, last: int) -> bool:
+        if not self.made_by_merges(last) or before >= 0 and not self.made_by_merges(before):
+            return False
+        if before < 0:
+            return True
+        left, right = self._edge(before, 1), self._edge(last, 0)
+        i = j = 0
+        while True:
+            # Merges go by rank, equal ones from left to right: would one join the two first?
+            grow_left = left[i + 1] if i + 1 < len(left) else _NONE
+            grow_right = right[j + 1] if j + 1 < len(right) else _NONE
+            joined = self.ranks.get(self.tokens[left[i]] + self.tokens[right[j]], _NONE)
+            if joined < grow_left and joined <= grow_right and joined != _NONE:
+                return False
+            if grow_left == grow_right == _NONE:
+                return True
+            if grow_left <= grow_right:
+                i += 1
+            else:
+                j += 1
 
     def stays(self, before: int, last: int) -> bool:
         """Whether the merges leave the pair of tokens as it is. before < 0: none."""
@@ -69,23 +114,43 @@ class PrefixEncoder:
         if known is None:
             if len(self._pairs) >= CACHED_PAIRS:
                 self._pairs.clear()
-            head = self.tokens[before] if before >= 0 else b""
-            expected = [before, last] if before >= 0 else [last]
-            known = self._pairs[key] = self.merged(head + self.tokens[last]) == expected
+            known = self._pairs[key] = self._stays(before, last)
         return known
 
-    def last_token(self, data: bytes, end: int, lasts: list[int]) -> int:
-        """Last token of data[:end], given those of the shorter prefixes."""
-        ranks = self.ranks
-        for start in range(max(0, end - self.longest), end):
-            token = ranks.get(data[start:end])
-            if token is not None and self.stays(lasts[start - 1] if start else -1, token):
-                return token
-        raise ValueError("the ranks do not hold every single byte")
+    def extend(self, lasts: list[int], data: bytes, until: int | None = None) -> None:
+        """Add to ``lasts`` the last tokens of the prefixes of ``data`` that it does not have yet."""
+        done = len(lasts)
+        from_ = max(0, done - self.longest)
+        pairs = self._pairs
+        # All tokens that end at a position, the longest first.
+        for at, (token, size) in self._endings.iter(data[from_:until].decode("latin-1")):
+            end = from_ + at + 1
+            start = end - size
+            if end == len(lasts) + 1:
+                before = lasts[start - 1] if start else -1
+                valid = pairs.get((before, token))
+                if self.stays(before, token) if valid is None else valid:
+                    lasts.append(token)
+            elif end > len(lasts):
+                raise ValueError("the ranks do not hold every single byte")
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
-        return [whole] if whole is not None else PrefixTable(self, piece).ids()
+        if whole is not None:
+            return [whole]
+        lasts: list[int] = []
+        self.extend(lasts, piece)
+        return self.read_back(lasts, len(piece))
+
+    def read_back(self, lasts: list[int], at: int) -> list[int]:
+        """Tokens of the first ``at`` bytes, from the last one back."""
+        found, tokens = [], self.tokens
+        while at:
+            token = lasts[at - 1]
+            found.append(token)
+            at -= len(tokens[token])
+        found.reverse()
+        return found
 
 
 class PrefixTable:
@@ -96,10 +161,8 @@ class PrefixTable:
         self.append(data)
 
     def append(self, more: bytes) -> None:
-        done = len(self.data)
         self.data += more
-        for end in range(done + 1, len(self.data) + 1):
-            self.lasts.append(self.encoder.last_token(self.data, end, self.lasts))
+        self.encoder.extend(self.lasts, self.data)
 
     def replace(self, start: int, end: int, by: bytes) -> int:
         """Put ``by`` in place of data[start:end]; returns the number of entries computed."""
@@ -108,7 +171,7 @@ class PrefixTable:
         self.data, self.lasts = data, old[:start]
         agreed = 0
         for at in range(start, len(data)):
-            self.lasts.append(self.encoder.last_token(data, at + 1, self.lasts))
+            self.encoder.extend(self.lasts, data, at + 1)
             from_end = len(data) - at
             same = from_end <= tail and old[len(old) - from_end] == self.lasts[at]
             agreed = agreed + 1 if same else 0
@@ -119,11 +182,11 @@ class PrefixTable:
 
     def ids(self, size: int | None = None) -> list[int]:
         """Tokens of the first ``size`` bytes, by default of all."""
-        found, at = [], len(self.data) if size is None else size
-        while at:
-            found.append(self.lasts[at - 1])
-            at -= len(self.encoder.tokens[found[-1]])
-        return found[::-1]
+        return self.encoder.read_back(self.lasts, len(self.data) if size is None else size)
+
+
+def _as_bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class _Cached(dict):
@@ -144,18 +207,34 @@ class TextEncoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.encoder = PrefixEncoder(ranks)
         self._pieces_of = regex.compile(pattern).findall
-        self._piece = _Cached(lambda piece: np.array(self.encoder.encode(piece.encode()), "<u4").tobytes())
+        self._space_led = pattern == SPACE_LED
+        self._piece = _Cached(self._encode_piece)
         self._stretch = _Cached(self._encode_stretch)
 
+    def _encode_piece(self, piece: str) -> bytes:
+        return _as_bytes(self.encoder.encode(piece.encode()))
+
     def _encode_stretch(self, stretch: str) -> bytes:
+        if self._space_led:
+            word = stretch[1:] if stretch[0] == " " else stretch
+            if word.isalpha():
+                return self._encode_piece(stretch)
+            if word[-1:] in _TAILS and word[:-1].isalpha():
+                return self._stretch[stretch[:-1]] + self._piece[word[-1]]
         return b"".join([self._piece[piece] for piece in self._pieces_of(stretch)])
 
+    def _odd_spaces(self, text: str) -> bool:
+        """Whether some space may not start a new match."""
+        if text.isascii() and text.replace("\n", "").isprintable():
+            return "  " in text or "\n " in text or " \n" in text or text[0] == " " or text[-1] == " "
+        return _ODD_SPACE.search(text) is not None
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if _ODD_SPACE.search(text):
-            return self._encode_stretch(text)
+        if not self._space_led or self._odd_spaces(text):
+            return b"".join([self._piece[piece] for piece in self._pieces_of(text)])
         first, *others = text.split(" ")
         known = self._stretch
         return known[first] + b"".join([known[" " + stretch] for stretch in others])

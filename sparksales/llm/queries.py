@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, conversations, language, quality, recompression, similarity_search, simhash, suffix_array
+from . import byte_bpe, conversations, language, phrase_index, quality, recompression, similarity_search, simhash, suffix_array
 from .tables import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -75,6 +75,45 @@ def without_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def contaminated(spark: SparkSession, folder: str) -> DataFrame:
+    found = phrase_index.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), size=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+CONTAMINATED_SQL = r"""
+WITH said AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS ws
+  FROM documents),
+asked AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS ws
+  FROM benchmark),
+phrases AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[s : s + 9], ' ') AS phrase
+  FROM asked, range(1, greatest(len(ws) - 9, 1) + 1) AS r(s) WHERE len(ws) > 0),
+sizes AS (SELECT DISTINCT n FROM phrases),
+hits AS (
+  SELECT doc_id, s, n, item_id FROM (
+    SELECT doc_id, s, n, array_to_string(ws[s : s + n - 1], ' ') AS phrase
+    FROM said, sizes, range(1, len(ws) - n + 2) AS r(s)) JOIN phrases USING (n, phrase)),
+words_hit AS (
+  SELECT doc_id, count(DISTINCT s + k) AS n_hit FROM hits, range(0, n) AS r(k) GROUP BY doc_id),
+items_hit AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM said LEFT JOIN words_hit USING (doc_id) LEFT JOIN items_hit USING (doc_id)
+"""
+
 REPEATS_SQL = r"""
 WITH words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
@@ -137,6 +176,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_byte_bpe": encoded,
         "op6_substring_dedup": without_repeats,
         "op7_chat_formatting": chats,
+        "op8_benchmark_decontamination": contaminated,
         "op9_suffix_array_dedup": without_repeated_bytes,
         "op10_nearest_neighbours": neighbours,
     }
@@ -146,5 +186,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op6_substring_dedup": REPEATS_SQL,
         "op7_chat_formatting": CHATS_SQL,
+        "op8_benchmark_decontamination": CONTAMINATED_SQL,
         "op10_nearest_neighbours": NEIGHBOURS_SQL,
     }
