@@ -30,7 +30,7 @@ from .shipping import map_batches
 from .tables import with_fields
 
 SLICE_BYTES = 4 << 20
-CACHED_PIECES = 700_000
+CACHED_PIECES = 400_000
 CACHED_PAIRS = 1_000_000
 _NONE = 1 << 60
 _TAILS = frozenset(".,;:!?")

@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import byte_bpe, conversations, language, phrase_index, quality, recompression, similarity_search, simhash, suffix_array
+from . import (
+    backoff,
+    byte_bpe,
+    conversations,
+    language,
+    phrase_index,
+    quality,
+    recompression,
+    similarity_search,
+    simhash,
+    suffix_array,
+)
 from .tables import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -24,6 +35,38 @@ def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", "predicted")
 
 
+def language_model_scores(spark: SparkSession, folder: str) -> DataFrame:
+    found = backoff.scores(table(spark, folder, "documents"), order=2, alpha=0.4, unseen=0.5)
+    # The sums are of doubles; their last digits depend on the order of summing.
+    rounded = {name: F.round(name, 6) for name in ("log_score", "mean_log_score")}
+    return found.withColumns(rounded)
+
+
+LANGUAGE_MODEL_SQL = r"""
+WITH words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws
+  FROM documents),
+said AS (SELECT doc_id, p, ws[p] AS w, CASE WHEN p > 1 THEN ws[p - 1] END AS before FROM words, range(1, len(ws) + 1) AS r(p)),
+own1 AS (SELECT doc_id, w, count(*) AS n FROM said GROUP BY ALL),
+all1 AS (SELECT w, sum(n) AS n FROM own1 GROUP BY w),
+own2 AS (SELECT doc_id, before, w, count(*) AS n FROM said WHERE before IS NOT NULL GROUP BY ALL),
+all2 AS (SELECT before, w, sum(n) AS n FROM own2 GROUP BY ALL),
+sizes AS (SELECT doc_id, count(*) AS n FROM said GROUP BY doc_id),
+counted AS (
+  SELECT doc_id, a.n - o.n AS f_word, (SELECT sum(n) FROM sizes) - s.n AS f_all,
+    coalesce(a2.n - o2.n, 0) AS f_pair, coalesce(ab.n - ob.n, 0) AS f_before, before
+  FROM said JOIN own1 o USING (doc_id, w) JOIN all1 a USING (w) JOIN sizes s USING (doc_id)
+  LEFT JOIN own2 o2 USING (doc_id, before, w) LEFT JOIN all2 a2 USING (before, w)
+  LEFT JOIN own1 ob ON ob.doc_id = said.doc_id AND ob.w = before LEFT JOIN all1 ab ON ab.w = before),
+scored AS (
+  SELECT doc_id, CASE WHEN f_pair > 0 THEN ln(f_pair / f_before)
+    ELSE ln(greatest(f_word, 0.5) / greatest(f_all, 1)) + CASE WHEN before IS NULL THEN 0 ELSE ln(0.4) END END AS l
+  FROM counted)
+SELECT doc_id, len(ws)::BIGINT AS n_words, round(sum(l), 6) AS log_score, round(sum(l) / len(ws), 6) AS mean_log_score
+FROM words LEFT JOIN scored USING (doc_id) GROUP BY doc_id, ws
+"""
+
+
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"), words_each=4, distance=4)
     fingerprint = F.lower(F.lpad(F.hex("fingerprint_bits"), 16, "0"))
@@ -171,6 +214,7 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, round(score, 12) AS score FROM r
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_classifier": quality_scores,
+        "op2_lm_scoring": language_model_scores,
         "op3_simhash_near_dedup": near_duplicates,
         "op4_language_id": languages,
         "op5_byte_bpe": encoded,
@@ -184,6 +228,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_lm_scoring": LANGUAGE_MODEL_SQL,
         "op6_substring_dedup": REPEATS_SQL,
         "op7_chat_formatting": CHATS_SQL,
         "op8_benchmark_decontamination": CONTAMINATED_SQL,
