@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparksales.llm import byte_bpe, quality, simhash
+from sparksales.llm import byte_bpe, phrase_index, quality, recompression, simhash
 from sparksales.llm.queries import VOCABULARY, remainder
 from sparksales.llm.tables import table
 from sparksales.operators.staging import stage
@@ -29,6 +29,23 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.one_of_each(docs, words_each=4, distance=4).select(*COLUMNS)
 
 
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 20 words and more that stand earlier.
+
+    A text that loses words keeps the others, joined by single spaces; any other text
+    stays as it is. A document that loses all its words stays with an empty text.
+    """
+    found = recompression.remove_repeats(docs, window=20, keep=COLUMNS)
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text").cast("string")).otherwise(F.col("text"))
+    n_chars = F.when(F.col("n_removed") > 0, F.char_length(text)).otherwise(F.col("n_chars"))
+    return found.select("doc_id", text.alias("text"), "lang", "source", n_chars.cast("bigint").alias("n_chars"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a phrase of the benchmark."""
+    return phrase_index.clean(docs, table(spark, sf_dir, "benchmark"), size=10).select(*COLUMNS)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, checked by decoding them."""
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
@@ -48,6 +65,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", quality_filter),
     ("near-duplicates", near_dedup),
+    ("substring dedup", substring_dedup),
+    ("benchmark decontamination", decontamination),
     ("byte-level BPE", encode),
 ]
 

@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.staging import stage, stage_lookup, staged_bytes
+from .tables import free_name
 
 PHRASE_WORDS = 10
 BROADCAST_BYTES = 32 << 20
@@ -164,9 +165,10 @@ def contamination(
 
 def clean(docs: DataFrame, items: DataFrame, size: int = PHRASE_WORDS, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` without an occurrence, with all their columns."""
-    hit = contamination(docs, items, size, text, key).where("n_hit > 0").select(F.col("row_hash").alias("_row_hash"))
-    marked = docs.withColumn("_row_hash", F.xxhash64(key, text))
-    return _looked_up(marked, stage_lookup(hit.distinct()), ["_row_hash"], "left_anti").drop("_row_hash")
+    name = free_name(docs, "row_hash")
+    hit = contamination(docs, items, size, text, key).where("n_hit > 0").select(F.col("row_hash").alias(name))
+    marked = docs.withColumn(name, F.xxhash64(key, text))
+    return _looked_up(marked, stage_lookup(hit.distinct()), [name], "left_anti").drop(name)
 
 
 def near_each_other(docs: DataFrame, pairs: DataFrame, within: int, text: str = "text", key: str = "doc_id") -> DataFrame:

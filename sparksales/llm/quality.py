@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..operators.staging import stage
 from .hashing import word_names
 from .shipping import map_batches
-from .tables import with_fields
+from .tables import free_name, with_fields
 
 FIT_ROWS = 200_000
 FIT_TASKS = 16
@@ -324,8 +324,8 @@ def accepted(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "tex
     The statistics of a row find their way back to it by a hash of id and text, so rows
     of one id are judged by their own texts.
     """
-    row_hash = F.xxhash64(key, text)
-    hashed = docs.withColumn("_row_hash", row_hash)
-    scored = classify(hashed, labels, learn, text, key, (key, "_row_hash"), **settings)
-    rejected = stage(scored.where("predicted = 0").select("_row_hash").distinct())
-    return hashed.join(rejected, "_row_hash", "left_anti").drop("_row_hash")
+    name = free_name(docs, "row_hash")
+    hashed = docs.withColumn(name, F.xxhash64(key, text))
+    scored = classify(hashed, labels, learn, text, key, (key, name), **settings)
+    rejected = stage(scored.where("predicted = 0").select(name).distinct())
+    return hashed.join(rejected, name, "left_anti").drop(name)

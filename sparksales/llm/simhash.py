@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.staging import stage
 from .components import connected_components
 from .shipping import map_batches, map_groups
-from .tables import with_fields
+from .tables import free_name, with_fields
 
 SEED = 42
 SHARD_POINTS = 16384
@@ -258,12 +258,12 @@ def one_of_each(docs: DataFrame, words_each: int = 4, distance: int = 4, text: s
     kept = found.groupBy("label").agg(F.min(order).alias("kept")).select("kept.row_hash")
     counted = found.groupBy("row_hash").agg(F.count(F.lit(1)).alias("copies"))
     kept = stage(kept.join(counted, "row_hash"))
-    row_hash = F.xxhash64(key, text).alias("row_hash")
-    hashed = docs.withColumn("_row_hash", row_hash)
-    single = kept.where("copies = 1").select(F.col("row_hash").alias("_row_hash"))
-    repeated = kept.where("copies > 1").select(F.col("row_hash").alias("_row_hash"))
+    name = free_name(docs, "row_hash")
+    hashed = docs.withColumn(name, F.xxhash64(key, text))
+    single = kept.where("copies = 1").select(F.col("row_hash").alias(name))
+    repeated = kept.where("copies > 1").select(F.col("row_hash").alias(name))
     return (
-        hashed.join(single, "_row_hash", "left_semi")
-        .unionByName(hashed.join(repeated, "_row_hash", "left_semi").dropDuplicates(["_row_hash"]))
-        .drop("_row_hash")
+        hashed.join(single, name, "left_semi")
+        .unionByName(hashed.join(repeated, name, "left_semi").dropDuplicates([name]))
+        .drop(name)
     )

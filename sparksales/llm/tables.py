@@ -13,3 +13,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def with_fields(schema: StructType, ddl: str) -> StructType:
     """A new schema with the fields of ``ddl`` behind those of ``schema``."""
     return StructType(schema.fields + StructType.fromDDL(ddl).fields)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as it takes not to clash with a column."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
