@@ -1,0 +1,156 @@
+"""Quality scores, language identification and language-model scores."""
+
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sparksales.llm import backoff, language, quality
+from sparksales.llm.queries import languages, quality_scores
+
+from .cases import odd_documents, odd_texts, words_of
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def test_quality_on_held_out_labels(spark):
+    scored = quality_scores(spark, FOLDER)
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    assert scored.count() == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+    rows = scored.where("held_out").join(labels, "doc_id").collect()
+    assert len(rows) > 30 and all(0 <= row.score <= 1 for row in rows)
+    assert np.mean([row.predicted == row.quality for row in rows]) >= 0.95
+
+
+def test_quality_of_odd_documents(spark):
+    docs = odd_documents(spark)
+    labels = spark.createDataFrame([(6, 1), (6, None), (7, 1), (12, 0), (13, 0), (None, 1), (999, 0)], "doc_id bigint, quality int")
+    rows = quality.classify(docs, labels, learn=F.lit(True)).collect()
+    assert len(rows) == len(odd_texts()) and all(0 <= row.score <= 1 for row in rows)
+    kept = quality.accepted(docs, labels, learn=F.lit(True))
+    assert kept.columns == docs.columns and kept.count() == sum(row.predicted for row in rows)
+    nothing = quality.classify(docs, labels.limit(0), learn=F.lit(True)).collect()
+    assert {row.score for row in nothing} == {0.5}
+    assert quality.classify(docs.limit(0), labels, learn=F.lit(True)).count() == 0
+
+
+def test_statistics_by_their_definition():
+    text = "The THE the\nDON'T 12!!\n\nThe THE the"
+    row = dict(zip(quality.STATISTICS, quality.statistics([b"", text.encode(), b"z"])[1]))
+    size, words = len(text), text.split()
+    assert row["upper"] == pytest.approx(sum(c.isupper() for c in text) / size)
+    assert row["line"] == pytest.approx(text.count("\n") / size)
+    assert row["distinct_words"] == pytest.approx(len(set(words)) / len(words))
+    assert row["top_word"] == pytest.approx(2 / len(words))
+    assert row["word_bytes"] == pytest.approx(np.mean([len(w) for w in words]))
+    assert row["distinct_lines"] == pytest.approx(3 / 4)
+    assert not quality.statistics([b""]).any(axis=1)[0] or quality.statistics([b""]).shape == (1, len(quality.STATISTICS))
+
+
+def test_isotonic_is_the_least_squares_fit():
+    rng = np.random.default_rng(0)
+    scores, labels = np.arange(40.0), rng.integers(0, 2, 40).astype(float)
+    knots, levels = quality.isotonic(scores, labels, np.ones(40))
+    assert (np.diff(knots) > 0).all() and (np.diff(levels) > 0).all()
+    # Pooled means by the minimax formula.
+    best = [max(min(labels[i : k + 1].mean() for k in range(j, 40)) for i in range(j + 1)) for j in range(40)]
+    pools = np.searchsorted(knots, scores)
+    assert set(np.round(levels, 9)) == set(np.round(best, 9)) and pools.max() <= len(knots)
+
+
+def test_languages_of_held_out_documents(spark):
+    rows = languages(spark, FOLDER).join(spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    rows = rows.where("held_out").collect()
+    assert len(rows) > 200
+    assert np.mean([row.lang == row.lang_pred for row in rows]) >= 0.98
+
+
+def code_length(training: list[bytes], text: bytes, order: int) -> float:
+    """Bits of a text by the definition of the context tree."""
+    counts = Counter()
+    for own in training:
+        for length in range(order + 1):
+            for i in range(length, len(own)):
+                counts[own[i - length : i], own[i]] += 1
+
+    def chance(context: bytes, byte: int) -> float:
+        followers = {b: n for (c, b), n in counts.items() if c == context}
+        total, different = sum(followers.values()), len(followers)
+        if byte in followers:
+            return followers[byte] / (total + different)
+        shorter = chance(context[1:], byte) if context else 1 / 256
+        return different / (total + different) * shorter if total else shorter
+
+    return -sum(math.log2(chance(text[max(0, i - order) : i], text[i])) for i in range(len(text)))
+
+
+def test_code_lengths_are_exact(spark):
+    training = {"aa": ["abracadabra", "abc cab"], "bb": ["babbling bob", "ébé"]}
+    rows = [(i, t, name) for i, (name, t) in enumerate((n, t) for n, ts in training.items() for t in ts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.learn(docs, where=F.lit(True))
+    texts = [b"abra", b"", b"bob cab", "é!z".encode(), b"b"]
+    got = model.code_lengths(texts)
+    for i, text in enumerate(texts):
+        for j, name in enumerate(model.languages):
+            assert got[i][j] == pytest.approx(code_length([t.encode() for t in training[name]], text, language.ORDER), rel=1e-5)
+
+
+def test_languages_of_odd_documents(spark):
+    docs = odd_documents(spark)
+    model = language.learn(docs.where("doc_id < 12"), where=F.lit(True))
+    rows = {(row.doc_id, row.text): row for row in language.predict(docs, model, keep=("doc_id", "text")).collect()}
+    for key, text in odd_texts():
+        has_letter = any(c.isalpha() for c in text or "")
+        assert (rows[key, text].lang_pred == "und") != has_letter
+    assert {row.lang_pred for row in language.predict(docs, None).collect()} == {"und"}
+    assert language.learn(docs, where=F.lit(False)) is None
+    assert language.predict(docs.limit(0), model).count() == 0
+
+
+def backoff_scores(rows, order, alpha, unseen):
+    docs = [words_of(text) for _, text in rows]
+    own = [Counter(tuple(w[i : i + n]) for n in range(1, order + 1) for i in range(len(w) - n + 1)) for w in docs]
+    every = sum(own, Counter())
+    total = sum(len(w) for w in docs)
+    found = []
+    for (key, _), words, mine in zip(rows, docs, own):
+        def count(gram):
+            return every[gram] - mine[gram]
+
+        def score(gram):
+            if len(gram) == 1:
+                return max(count(gram), unseen) / max(total - len(words), 1)
+            if count(gram) > 0:
+                return count(gram) / count(gram[:-1])
+            return alpha * score(gram[1:])
+
+        logs = [math.log(score(tuple(words[max(0, i - order + 1) : i + 1]))) for i in range(len(words))]
+        found.append((key, len(words), round(sum(logs), 6) if logs else None))
+    return found
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_backoff_of_odd_documents(spark, order):
+    rows = odd_texts()
+    got = backoff.scores(odd_documents(spark), order=order).collect()
+    got = [(r.doc_id, r.n_words, None if r.log_score is None else round(r.log_score, 6)) for r in got]
+    assert sorted(map(repr, got)) == sorted(map(repr, backoff_scores(rows, order, 0.4, 0.5)))
+
+
+def test_backoff_of_few_documents(spark):
+    assert backoff.scores(odd_documents(spark).limit(0)).count() == 0
+    alone = backoff.scores(odd_documents(spark, [(1, "a b a")])).first()
+    assert alone.n_words == 3 and math.isfinite(alone.log_score)
+
+
+def test_texts_in_random_blocks_have_their_own_counts(spark):
+    rng = random.Random(4)
+    rows = [(i % 9, " ".join(rng.choice("abcd") for _ in range(rng.randrange(12)))) for i in range(50)]
+    got = [(r.doc_id, r.n_words, None if r.log_score is None else round(r.log_score, 6)) for r in backoff.scores(odd_documents(spark, rows)).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, backoff_scores(rows, 2, 0.4, 0.5)))
