@@ -1,18 +1,24 @@
-"""Additive count / sum / sum-of-squares of money amounts, exact where possible.
-
-Variance decides ties between sizes, so it must not depend on the order in which
-tasks add doubles. Amounts with at most two decimals are summed as whole cents,
-which is exact and order-free. If any amount of a group does not fit that grid (more
-decimals, 10 million or more, NaN, infinity), the whole group falls back to the plain
-double sums that are carried alongside.
-
-A bigint sum of squared cents would overflow in a large group and a decimal sum
-allocates per row, so cents and their squares are summed in pieces of at most 20
-bits. Each piece's bigint sum is safe for 2^43 rows per group, and the pieces are put
-together again as decimals once per group.
-
-All columns are plain sums, so a group can be aggregated in as many steps as the
-plan likes: ``first`` over rows, ``again`` over already aggregated rows.
+"""Additive count / sum / sum-of-squares of money amounts that do not depend on task order.
+
+Variance decides ties between sizes, so it must not change with the order in which tasks
+add doubles. Amounts with up to four decimals and below 900 billion are whole numbers of
+ten-thousandths, at most 53 bits long, and are summed exactly.
+
+A bigint sum of squares would overflow and a decimal sum allocates per row. So a number is
+cut at bit 27 into a low and a high part, and the number itself and the three products
+low*low, low*high, high*high are summed in pieces of 20 bits. Each piece's bigint sum is safe
+for 2^43 rows per group. The numerator of the variance, n * sum(u^2) - sum(u)^2, is put
+together in three limbs of 54 bits whose carries are settled before anything becomes a
+double, so nothing cancels in floating point, whatever the size of the group.
+
+Other amounts (more decimals, larger, NaN, infinity) are kept apart as count, mean and
+sum of squared distances from the mean, from the built-in aggregates, and merged by
+M2 = M2_a + M2_b + (mean_a - mean_b)^2 n_a n_b / (n_a + n_b). They never take a square of a
+mean off a mean of squares. Only where several partial results meet do their last digits
+depend on how rows were split.
+
+``first`` aggregates rows; ``again`` merges the output of ``first`` (or of ``again``), in as
+many steps as the plan likes.
 """
 
 from __future__ import annotations
@@ -21,85 +27,202 @@ from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
+_UNITS = 10_000
 _CENTS = 100
-_LARGEST_EXACT = 1e7  # cents fit 30 bits, their squares 60
+_LARGEST_UNIT = float(1 << 53)
 _PIECE_BITS = 20
+_CUT = 27
+_LIMB = Decimal(1 << (2 * _CUT))
 
 
-def _pieces(value: Column, count: int) -> list[Column]:
+def _pieces(value: Column) -> list[Column]:
     """``value`` cut into 20-bit pieces, lowest first; the last keeps the sign."""
-    low = [F.shiftright(value, _PIECE_BITS * i).bitwiseAND((1 << _PIECE_BITS) - 1) for i in range(count - 1)]
-    return [*low, F.shiftright(value, _PIECE_BITS * (count - 1))]
+    low = [F.shiftright(value, _PIECE_BITS * i).bitwiseAND((1 << _PIECE_BITS) - 1) for i in range(2)]
+    return [*low, F.shiftright(value, 2 * _PIECE_BITS)]
+
+
+def _wide(value: Column) -> Column:
+    return value.cast("decimal(38,0)")
 
 
 def _put_together(names: list[str]) -> Column:
-    total = F.col(names[0]).cast("decimal(20,0)")
+    total = _wide(F.col(names[0]))
     for i, name in enumerate(names[1:], start=1):
-        total = total + F.col(name) * Decimal(1 << (_PIECE_BITS * i))
+        total = _wide(total + _wide(F.col(name) * Decimal(1 << (_PIECE_BITS * i))))
     return total
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _limbs(a: Column, b: Column, c: Column) -> Column:
+    return F.struct(a.alias("a"), b.alias("b"), c.alias("c"))
+
+
+def _settled(limbs: Column) -> Column:
+    """The same number a + 2^54 b + 2^108 c with a and b between 0 and 2^54."""
+    limb = F.lit(_LIMB).cast("decimal(38,0)")
+
+    def carry_a(x):
+        low = F.pmod(x["a"], limb)
+        return _limbs(low, _wide(x["b"] + _wide((x["a"] - low) / limb)), x["c"])
+
+    def carry_b(x):
+        low = F.pmod(x["b"], limb)
+        return _limbs(x["a"], low, _wide(x["c"] + _wide((x["b"] - low) / limb)))
+
+    return _let(_let(limbs, carry_a), carry_b)
+
+
+def _as_double(limbs: Column) -> Column:
+    big = float(_LIMB)
+    return limbs["c"].cast("double") * (big * big) + limbs["b"].cast("double") * big + limbs["a"].cast("double")
+
+
+def _merged(a: Column, b: Column) -> Column:
+    """Two (n, mean, m2) put together; n = 0 adds nothing."""
+    return _let(F.struct(a.alias("a"), b.alias("b")), lambda both: _merge(both["a"], both["b"]))
+
+
+def _merge(a: Column, b: Column) -> Column:
+    n = a["n"] + b["n"]
+    apart = b["mean"] - a["mean"]
+    return (
+        F.when(b["n"] == 0, a)
+        .when(a["n"] == 0, b)
+        .otherwise(
+            F.struct(
+                n.alias("n"),
+                (a["mean"] + apart * (b["n"] / n)).alias("mean"),
+                (a["m2"] + b["m2"] + apart * apart * (a["n"] * (b["n"] / n))).alias("m2"),
+            )
+        )
+    )
+
+
+def _part(n: Column, mean: Column, m2: Column) -> Column:
+    return F.struct(n.cast("double").alias("n"), mean.alias("mean"), m2.alias("m2"))
+
+
 class Moments:
     """Named bundle of the sums of one amount column."""
 
     def __init__(self, prefix: str = "amount"):
         self.count = f"{prefix}_count"
-        self.cents = [f"{prefix}_cents_{i}" for i in range(2)]
-        self.squares = [f"{prefix}_squares_{i}" for i in range(3)]
-        self.off_grid = f"{prefix}_off_grid"
-        self.plain = f"{prefix}_plain"
-        self.plain_squares = f"{prefix}_plain_squares"
+        self.units = [f"{prefix}_units_{i}" for i in range(3)]
+        self.low = [f"{prefix}_low_{i}" for i in range(3)]
+        self.cross = [f"{prefix}_cross_{i}" for i in range(3)]
+        self.high = [f"{prefix}_high_{i}" for i in range(3)]
+        self.others = f"{prefix}_others"
+
+    @property
+    def _sums(self) -> list[str]:
+        return [*self.units, *self.low, *self.cross, *self.high]
 
     @property
     def columns(self) -> list[str]:
-        return [self.count, *self.cents, *self.squares, self.off_grid, self.plain, self.plain_squares]
+        return [self.count, *self._sums, self.others]
 
     def first(self, amount: Column) -> list[Column]:
         """Aggregates over raw rows; null amounts count nowhere."""
-        rounded = F.rint(amount * _CENTS)
-        on_grid = (F.abs(amount) < _LARGEST_EXACT) & (rounded / _CENTS == amount)
-        cents = F.when(on_grid, rounded).otherwise(0.0).cast("bigint")
-        known = F.coalesce(amount, F.lit(0.0))
-        pieces = zip(self.cents + self.squares, _pieces(cents, 2) + _pieces(cents * cents, 3))
+        rounded = F.rint(amount * _UNITS)
+        exact = (F.abs(rounded) < _LARGEST_UNIT) & (rounded / _UNITS == amount)
+        units = F.when(exact, rounded).otherwise(0.0).cast("bigint")
+        low, high = units.bitwiseAND((1 << _CUT) - 1), F.shiftright(units, _CUT)
+        pieces = [piece for value in (units, low * low, low * high, high * high) for piece in _pieces(value)]
+        other = F.when(~exact, amount)
+        n = F.count(other)
+        of_others = _part(n, F.avg(other), F.var_pop(other) * n)
         return [
             F.count(amount).alias(self.count),
-            *[F.sum(piece).alias(name) for name, piece in pieces],
-            F.count(F.when(~on_grid, True)).alias(self.off_grid),
-            F.sum(known).alias(self.plain),
-            F.sum(known * known).alias(self.plain_squares),
+            *[F.sum(piece).alias(name) for name, piece in zip(self._sums, pieces)],
+            F.when(n > 0, F.array(of_others)).otherwise(F.array().cast("array<struct<n:double,mean:double,m2:double>>")).alias(
+                self.others
+            ),
         ]
 
     def again(self) -> list[Column]:
         """Aggregates that merge the output of ``first`` (or of ``again``)."""
-        return [F.sum(name).alias(name) for name in self.columns]
+        # One entry for each partial result that has other amounts; most have none.
+        parts = F.sort_array(F.flatten(F.collect_list(F.when(F.size(self.others) > 0, F.col(self.others)))))
+        nothing = _part(F.lit(0.0), F.lit(0.0), F.lit(0.0))
+        together = F.aggregate(parts, nothing, _merged)
+        merged = F.when(F.size(parts) > 0, F.array(together)).otherwise(parts)
+        return [
+            F.sum(self.count).alias(self.count),
+            *[F.sum(name).alias(name) for name in self._sums],
+            merged.alias(self.others),
+        ]
+
+    def _limbs_of_squares(self) -> Column:
+        """sum(u^2) in settled limbs."""
+        half = F.lit(Decimal(1 << _CUT)).cast("decimal(38,0)")
+        zero = F.lit(Decimal(0)).cast("decimal(38,0)")
+        low, cross, high = (_put_together(names) for names in (self.low, self.cross, self.high))
+
+        # 2 * low * high stands at bit 27; half a limb of it goes to each side.
+        def joined(x):
+            rest = F.pmod(x["b"], half)
+            return _limbs(_wide(x["a"] + _wide(rest * half)), _wide(x["c"] + _wide((x["b"] - rest) / half)), zero)
 
-    def _if_exact(self, exact: Column, plain: Column) -> Column:
-        return F.when(F.col(self.off_grid) == 0, exact).otherwise(plain)
+        return _settled(_let(_limbs(low, _wide(cross * 2), high), joined))
+
+    def _other(self) -> Column:
+        return F.coalesce(F.get(self.others, F.lit(0)), _part(F.lit(0.0), F.lit(0.0), F.lit(0.0)))
 
     def total(self) -> Column:
-        return self._if_exact(_put_together(self.cents).cast("double") / _CENTS, F.col(self.plain))
+        cents = (_put_together(self.units) / F.lit(Decimal(_CENTS))).cast("double")
+        other = self._other()
+        return F.when(F.size(self.others) == 0, cents / _CENTS).otherwise(cents / _CENTS + other["n"] * other["mean"])
 
     def total_squared(self) -> Column:
-        return self._if_exact(_put_together(self.squares).cast("double") / _CENTS**2, F.col(self.plain_squares))
+        def as_number(x):
+            small = _wide(x["a"] + _wide(x["b"] * F.lit(_LIMB)))  # as long as 38 digits hold it
+            return F.when(x["c"] == 0, (small / F.lit(Decimal(_UNITS))).cast("double") / _UNITS).otherwise(
+                _as_double(x) / _UNITS**2
+            )
+
+        squares, other = _let(self._limbs_of_squares(), as_number), self._other()
+        return F.when(F.size(self.others) == 0, squares).otherwise(
+            squares + other["m2"] + other["n"] * other["mean"] * other["mean"]
+        )
+
+    def _exact_part(self) -> Column:
+        """(n, mean, m2) of the amounts that were summed exactly."""
+        limb = F.lit(_LIMB).cast("decimal(38,0)")
+        n = _wide(F.col(self.count) - self._other()["n"].cast("bigint"))
+
+        def cut(x):
+            low = F.pmod(x["u"], limb)
+            return F.struct(
+                x["n"].alias("n"), x["u"].alias("u"), x["q"].alias("q"),
+                low.alias("low"), _wide((x["u"] - low) / limb).alias("high"),
+            )
+
+        def spread(x):
+            numerator = _limbs(
+                _wide(_wide(x["n"] * x["q"]["a"]) - _wide(x["low"] * x["low"])),
+                _wide(_wide(x["n"] * x["q"]["b"]) - _wide(_wide(x["low"] * x["high"]) * 2)),
+                _wide(_wide(x["n"] * x["q"]["c"]) - _wide(x["high"] * x["high"])),
+            )
+            count = x["n"].cast("double")
+            mean = (x["u"] / F.lit(Decimal(_CENTS))).cast("double") / count / _CENTS
+            m2 = _let(_settled(numerator), _as_double) / count / _UNITS**2
+            return F.when(x["n"] > 0, _part(count, mean, m2)).otherwise(_part(F.lit(0.0), F.lit(0.0), F.lit(0.0)))
+
+        sums = F.struct(n.alias("n"), _put_together(self.units).alias("u"), self._limbs_of_squares().alias("q"))
+        return _let(_let(sums, cut), spread)
 
     def mean(self) -> Column:
-        n = F.col(self.count).cast("double")
-        exact = _put_together(self.cents).cast("double") / n / _CENTS
-        return F.when(F.col(self.count) > 0, self._if_exact(exact, F.col(self.plain) / n))
+        """Mean amount, null without amounts."""
+        return F.when(F.col(self.count) > 0, _merged(self._exact_part(), self._other())["mean"])
 
     def variance(self) -> Column:
         """Population variance, null without amounts, never negative."""
-        n = F.col(self.count).cast("double")
-        cents = _put_together(self.cents)
-        spread = F.try_subtract(
-            F.try_multiply(F.col(self.count).cast("decimal(20,0)"), _put_together(self.squares)),
-            F.try_multiply(cents, cents),
-        )
-        mean = F.col(self.plain) / n
-        plain = F.greatest(F.lit(0.0), F.col(self.plain_squares) / n - mean * mean)
-        # try_* gives null where the exact numerator needs more than 38 digits.
-        exact = F.coalesce(spread.cast("double") / (n * n) / _CENTS**2, plain)
-        return F.when(F.col(self.count) > 0, self._if_exact(exact, plain))
+        together = _merged(self._exact_part(), self._other())
+        return F.when(F.col(self.count) > 0, together["m2"] / F.col(self.count).cast("double"))
 
     def deviation(self) -> Column:
         return F.sqrt(self.variance())

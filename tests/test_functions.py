@@ -111,25 +111,48 @@ class TestMoments:
         row = self.summary(spark, {"a": [1.0, float("nan")]})["a"]
         assert row["variance"] != row["variance"]
 
-    def test_numerator_beyond_38_digits_falls_back(self, spark):
+    def test_numerator_beyond_38_digits_is_exact(self, spark):
         m = self.moments
-        # 10^13 amounts, half 9,000,000.00 and half 1.00, as already merged sums.
-        n, high, low = 10**13, 900_000_000, 100
+        # 10^13 amounts, half 9,000,000.00 and half 1.00, as already merged sums of ten-thousandths.
+        n, high, low = 10**13, 90_000_000_000, 10_000
         half = n // 2
-        cents, squares = half * (high + low), half * (high * high + low * low)
-        assert n * squares > 10**38
-        piece = 1 << 20
-        values = {
-            m.count: n,
-            m.cents[0]: cents % piece,
-            m.cents[1]: cents // piece,
-            m.squares[0]: squares % piece,
-            m.squares[1]: squares // piece % piece,
-            m.squares[2]: squares // piece**2,
-            m.off_grid: 0,
-            m.plain: half * 9000001.0,
-            m.plain_squares: half * (8.1e13 + 1),
-        }
-        df = spark.createDataFrame([values])
+        assert n * half * (high * high + low * low) > 10**38
+        piece, cut = 1 << 20, 1 << 27
+
+        def pieces(names, total):
+            return dict(zip(names, [total % piece, total // piece % piece, total // piece**2]))
+
+        parts = [(value % cut, value // cut) for value in (high, low)]
+        values = {m.count: n} | pieces(m.units, half * (high + low))
+        values |= pieces(m.low, half * sum(a * a for a, _ in parts))
+        values |= pieces(m.cross, half * sum(a * b for a, b in parts))
+        values |= pieces(m.high, half * sum(b * b for _, b in parts))
+        schema = ", ".join(f"{name} bigint" for name in values)
+        df = spark.createDataFrame([tuple(values.values())], schema)
+        df = df.withColumn(m.others, F.array().cast("array<struct<n:double,mean:double,m2:double>>"))
         (value,) = df.select(m.variance()).first()
-        assert value == pytest.approx(4499999.5**2)
+        assert value == 4499999.5**2
+
+    @pytest.mark.parametrize("base", [9e6, 12345678.0, 1e9, 1e10, 1e11])
+    def test_small_spread_of_large_amounts(self, spark, base):
+        row = self.summary(spark, {"a": [base + cents / 100 for cents in (10, 20, 30, 40)]})["a"]
+        assert row["deviation"] == pytest.approx(0.1118033988749895, abs=1e-9 if base < 1e9 else 1e-5)
+
+    def test_off_grid_amounts_keep_their_spread(self, spark):
+        values = [1e6 + x for x in (0.01, 0.02, 0.03, 0.04, 0.0412345)]
+        mean = sum(v - 1e6 for v in values) / 5
+        expected = (sum((v - 1e6 - mean) ** 2 for v in values) / 5) ** 0.5
+        assert self.summary(spark, {"a": values})["a"]["deviation"] == pytest.approx(expected, rel=1e-6)
+        far = self.summary(spark, {"a": [1e13 + x for x in (0, 1, 2, 3)]})["a"]
+        assert far["deviation"] == pytest.approx(1.25**0.5)
+
+    def test_the_same_for_every_partitioning(self, spark):
+        rows = [(float(10_000_000 + i * 399_999.37 % 80_000_000),) for i in range(200)]
+        rows = [(round(value, 2),) for (value,) in rows]
+        df, m = spark.createDataFrame(rows, "v double"), self.moments
+        found = set()
+        for parts in (1, 2, 3, 5, 7, 11):
+            found.add(df.repartition(parts).agg(*m.first(F.col("v"))).select(m.variance(), m.total()).first())
+        exact = [round(value * 100) for (value,) in rows]
+        numerator = 200 * sum(c * c for c in exact) - sum(exact) ** 2
+        assert len(found) == 1 and found.pop()[0] == pytest.approx(numerator / 200**2 / 10**4, rel=1e-15)
