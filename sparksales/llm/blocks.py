@@ -18,23 +18,28 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 BLOCK_BYTES = 8 << 20
+BUCKET_BYTES = 24 << 20
 NULL_KEY = -(1 << 63)
 
 
-def block_count(df: DataFrame, size: Column, block_bytes: int = BLOCK_BYTES) -> int:
-    """Number of blocks of about ``block_bytes``, at least four per shuffle partition."""
+def block_counts(df: DataFrame, size: Column) -> tuple[int, int]:
+    """Numbers of blocks of texts and of buckets of names, both in proportion to the texts.
+
+    Blocks outnumber shuffle partitions, which evens them out; buckets do not, because each
+    block sends a row to each bucket.
+    """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = df.agg(F.sum(size.cast("double"))).first()[0] or 0.0
-    return max(4 * partitions, math.ceil(total / block_bytes))
+    return max(4 * partitions, math.ceil(total / BLOCK_BYTES)), max(partitions, math.ceil(total / BUCKET_BYTES))
 
 
 def text_blocks(docs: DataFrame, text: str, key: str, keep: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
-    """(block, doc_key, row_hash, no_key, text, keep_...) of every row, and the number of blocks.
+    """(block, doc_key, row_hash, no_key, text, keep_...) of every row, and the number of buckets.
 
     A null key becomes the smallest bigint, a null text an empty one. Rows that are
     equal in key and text have equal ``row_hash`` and meet in one block.
     """
-    count = block_count(docs, F.octet_length(F.col(text)))
+    count, buckets = block_counts(docs, F.octet_length(F.col(text)))
     body = F.coalesce(F.col(text), F.lit(""))
     doc_key = F.coalesce(F.col(key), F.lit(NULL_KEY))
     row_hash = F.xxhash64(doc_key, body)
@@ -45,7 +50,7 @@ def text_blocks(docs: DataFrame, text: str, key: str, keep: tuple[str, ...] = ()
         F.col(key).isNull().alias("no_key"),
         body.alias("text"),
         *[F.col(name).alias(f"keep_{name}") for name in keep if name != key],
-    ), count
+    ), buckets
 
 
 def numbers(column: pa.ChunkedArray | pa.Array) -> np.ndarray:

@@ -111,7 +111,12 @@ def _smallest(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.nda
 
 
 def anchors(found: list[Symbols], window: int, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each window start: (a number for the anchor, its name, its first word)."""
+    """For each window start: (a number for the anchor, its name, its first word).
+
+    The name is that of the words of the support, which stand in every window that takes
+    the anchor; far fewer unrelated windows share it than share the symbol.
+    """
+    stretches = Stretches(found[0].name)
     number = np.full(len(start), -1, np.int64)
     name, word = np.zeros(len(start), np.uint64), np.zeros(len(start), np.int64)
     base = 0
@@ -129,7 +134,8 @@ def anchors(found: list[Symbols], window: int, start: np.ndarray) -> tuple[np.nd
         ranked = (s.name & keep) | np.arange(len(s.name), dtype=np.uint64)
         chosen = (_smallest(ranked, first, last) & ~keep).astype(np.int64)
         number[todo] = chosen + base
-        name[todo] = mix(s.name[chosen] + np.uint64(level))
+        low, high = s.low[chosen], s.high[chosen]
+        name[todo] = combine(stretches.names(low, high), (s.start[chosen] - low).astype(np.uint64), level)
         word[todo] = s.start[chosen]
         base += len(s.name)
     return number, name, word
@@ -242,13 +248,13 @@ def remove_repeats(
     ``removed``: array of (start, end) word positions, end exclusive; ``kept_text``:
     the words that stay, joined by single spaces, as binary UTF-8.
     """
-    blocks, count = text_blocks(docs, text, key, keep)
+    blocks, buckets = text_blocks(docs, text, key, keep)
     spans = find_spans(
         blocks,
-        count,
+        buckets,
         _regions(window, rounds),
         _decide,
-        _extract(window, count),
+        _extract(window, buckets),
         _compare,
     )
     others = [name for name in docs.columns if name in keep and name != key]
