@@ -9,8 +9,8 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import plans
-from .operators import release_staged, stage
+from . import operators, plans
+from .operators import stage, staging_scope
 from .sources import read_sales_csv, typed_sales, write_result
 
 
@@ -26,6 +26,10 @@ def _compare(sales: DataFrame) -> DataFrame:
     return plans.compare_threshold_methods(plans.threshold_stddev(sales))
 
 
+def _largest_group(sales: DataFrame) -> DataFrame:
+    return operators.largest_group(plans.promotion_orders(sales), ["month", "sku"])
+
+
 JOBS = {
     "winning-size": Job(plans.winning_category, "csv", ("state", "window_date")),
     "median-variety": Job(plans.median_variety, "csv", ("month", "state")),
@@ -33,6 +37,8 @@ JOBS = {
     "threshold-deviation": Job(plans.threshold_stddev, "parquet", ("month", "sku", "method", "percentile_level")),
     "compare-methods": Job(_compare, "csv", ("percentile_level",)),
     "quality-counters": Job(plans.quality_counters, "csv", ("counter",)),
+    "largest-group": Job(_largest_group, "csv", ()),
+    "row-count": Job(operators.row_count, "csv", ()),
 }
 
 
@@ -43,25 +49,33 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("output", help="must not exist")
     parser.add_argument("--format", choices=["csv", "parquet"], help="default: the job's own")
     parser.add_argument("--single-file", action="store_true", help="write one sorted file instead of a folder")
+    parser.add_argument("--single-file-bytes", type=int, help="refuse a larger single file; default: no limit")
     parser.add_argument("--clamp-days", action="store_true", help="read 02-30-22 as the last day of the month")
-    parser.add_argument("--explain", action="store_true", help="print the extended plan first")
+    parser.add_argument("--explain", action="store_true", help="print the plan first, of what follows the staged relations")
     options = parser.parse_args(arguments)
     job = JOBS[options.job]
 
     running = SparkSession.getActiveSession()
     spark = running or SparkSession.builder.appName(f"sparksales {options.job}").getOrCreate()
     try:
-        sales = typed_sales(read_sales_csv(spark, options.input), clamp_days=options.clamp_days)
-        if job.scans > 1:
-            # Parse the text once; later scans then read a few columns each.
-            sales = stage(sales)
-        result = job.build(sales)
-        if options.explain:
-            result.explain(extended=True)
-        write_result(result, options.output, options.format or job.format, options.single_file, job.order_by)
+        with staging_scope(spark):
+            sales = typed_sales(read_sales_csv(spark, options.input), clamp_days=options.clamp_days)
+            if job.scans > 1:
+                # Parse the text once; later scans then read a few columns each.
+                sales = stage(sales)
+            result = job.build(sales)
+            if options.explain:
+                result.explain(extended=True)
+            write_result(
+                result,
+                options.output,
+                options.format or job.format,
+                options.single_file,
+                job.order_by,
+                options.single_file_bytes,
+            )
     finally:
         if running is None:
-            release_staged(spark)
             spark.stop()
 
 

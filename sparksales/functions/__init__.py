@@ -11,6 +11,7 @@ from .parsing import (
     parse_date,
     parse_double,
     parse_long,
+    parse_row_id,
 )
 from .promotions import promotion_count, promotion_list
 from .sizes import SIZE_RANKS, size_rank
@@ -27,6 +28,7 @@ __all__ = [
     "parse_date",
     "parse_double",
     "parse_long",
+    "parse_row_id",
     "promotion_count",
     "promotion_list",
     "size_rank",

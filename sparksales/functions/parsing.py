@@ -28,6 +28,11 @@ def parse_long(text: Column) -> Column:
     return clean(text).try_cast("bigint")
 
 
+def parse_row_id(text: Column) -> Column:
+    """A whole number that may be written with a fraction, as float columns export it (``17.0``)."""
+    return clean(text).try_cast("decimal(38,6)").try_cast("bigint")
+
+
 def parse_double(text: Column) -> Column:
     return clean(text).try_cast("double")
 

@@ -4,7 +4,7 @@ from .calendar import trailing_day_buckets
 from .groups import best_per_group, largest_group, row_count
 from .joins import lookup_join
 from .percentiles import approx_percentiles, count_histogram, with_percentiles
-from .staging import release_staged, stage, stage_lookup, staged_bytes
+from .staging import release_staged, stage, stage_lookup, staged_bytes, staging_scope
 
 __all__ = [
     "approx_percentiles",
@@ -17,6 +17,7 @@ __all__ = [
     "stage",
     "stage_lookup",
     "staged_bytes",
+    "staging_scope",
     "trailing_day_buckets",
     "with_percentiles",
 ]

@@ -7,25 +7,35 @@ relation's real size when it plans the next join.
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
-_local_folders: dict[str, str] = {}
+_scopes: list[str] = []
+_to_delete: set[str] = set()
 
 
 def _shared_folder(spark: SparkSession) -> str:
-    configured = spark.conf.get(_CONF, None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+    """The folder of ``spark.checkpoint.dir``; where it is unset, one in the warehouse."""
+    context = spark.sparkContext
+    local = context.master.startswith("local")
+    configured = spark.conf.get(_CONF, None) or context.getCheckpointDir()
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+    if not configured and not warehouse:
         raise ValueError(f"set {_CONF} to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="sparksales-")
-    return _local_folders[app]
+    folder = configured or f"{warehouse.rstrip('/')}/_staged"
+    if folder.startswith("file:") and not local:
+        raise ValueError(f"{folder} may be a folder of one machine: set {_CONF} to a folder that all executors share")
+    if not configured and local and folder.startswith("file:") and folder not in _to_delete:
+        # Nobody else knows of this folder, so it goes with the process.
+        _to_delete.add(folder)
+        atexit.register(shutil.rmtree, folder.removeprefix("file:"), ignore_errors=True)
+    return folder
 
 
 def session_folder(spark: SparkSession) -> str:
@@ -33,13 +43,29 @@ def session_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession) -> str:
-    return f"{session_folder(spark)}/{uuid.uuid4().hex}"
+    return "/".join([session_folder(spark), *_scopes, uuid.uuid4().hex])
 
 
 def hadoop_path(spark: SparkSession, path: str):
     """(FileSystem, Path) of a path, whichever file system it lives on."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+    try:
+        jvm, context = spark._jvm, spark._jsc
+    except AttributeError as missing:
+        raise RuntimeError("staging and single files need a classic Spark session, not Spark Connect") from missing
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context.hadoopConfiguration()), target
+
+
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is deleted at the end; what was staged before stays."""
+    _scopes.append(uuid.uuid4().hex)
+    fs, folder = hadoop_path(spark, "/".join([session_folder(spark), *_scopes]))
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        fs.delete(folder, True)
 
 
 def stage(df: DataFrame, compression: str = "snappy") -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import Moments, is_filled, normalized, promotion_list
-from ..operators import lookup_join, stage_lookup
+from ..operators import lookup_join, stage, stage_lookup
 
 MIN_ACTIVE_DAYS = 2
 MIN_VALID_PROMOTIONS = 3
@@ -71,28 +71,36 @@ def _candidates(sales: DataFrame, row_key: Sequence[str]) -> DataFrame:
     )
 
 
-def _count_valid(df: DataFrame, valid: DataFrame, keys: Sequence[str], *carried: Column) -> DataFrame:
-    """Valid promotions per row of ``df``, which has unique ``keys`` and a ``promotion_ids`` text.
-
-    One pass: ids are exploded, looked up and counted, so no row is joined back. A
-    row without ids keeps one filler that no id can equal and that differs between
-    rows, which keeps those rows from meeting in one task.
-    """
-    filler = F.array(F.concat(F.lit("\u0000"), F.xxhash64(*keys).cast("string")))
-    listed = df.withColumn("ids", promotion_list(F.col("promotion_ids")))
-    exploded = listed.withColumn("promotion_id", F.explode(F.when(F.size("ids") > 0, F.col("ids")).otherwise(filler)))
-    flagged = lookup_join(exploded, valid.withColumn("is_valid", F.lit(True)), "promotion_id", keys, "left")
-    return flagged.groupBy(*keys).agg(F.count("is_valid").alias("valid_promotion_count"), *carried)
-
-
 def valid_promotion_counts(
     sales: DataFrame,
     min_days: int = MIN_ACTIVE_DAYS,
     row_key: Sequence[str] = ("row_id",),
 ) -> DataFrame:
-    """Number of distinct valid promotions of every cancelled standard row."""
+    """Number of distinct valid promotions of every order; one row for each row key.
+
+    Ids leave the list before anything moves, so only keys and ids are shuffled. A row
+    without ids keeps one filler that no id can equal and that differs between rows,
+    which keeps those rows from meeting in one task. Rows of one key count together.
+    """
     valid = stage_lookup(valid_promotions(sales, min_days, row_key))
-    return _count_valid(_candidates(sales, row_key).select(*row_key, "promotion_ids"), valid, row_key)
+    filler = F.array(F.concat(F.lit("\u0000"), F.xxhash64(*row_key).cast("string")))
+    listed = sales.filter(_known(row_key)).select(*row_key, promotion_list(F.col("promotion_ids")).alias("ids"))
+    ids = F.when(F.size("ids") > 0, F.col("ids")).otherwise(filler)
+    exploded = listed.select(*row_key, F.explode(ids).alias("promotion_id"))
+    flagged = lookup_join(exploded, valid.withColumn("is_valid", F.lit(True)), "promotion_id", row_key, "left")
+    counted = F.count_distinct(F.when(F.col("is_valid"), F.col("promotion_id")))
+    return flagged.groupBy(*row_key).agg(counted.alias("valid_promotion_count"))
+
+
+def _valid_by_list(lists: DataFrame, valid: DataFrame) -> DataFrame:
+    """(list_key, valid_promotion_count) of the different lists that have valid promotions.
+
+    ``lists`` is read where it lies: what crosses the network is a short key and one id.
+    """
+    ids = F.explode(promotion_list(F.col("promotion_ids"))).alias("promotion_id")
+    pairs = lists.filter(F.col("promotion_ids").isNotNull()).select("list_key", ids).distinct()
+    found = lookup_join(pairs, valid.withColumn("is_valid", F.lit(True)), "promotion_id", ["list_key"], "inner")
+    return found.groupBy("list_key").agg(F.count(F.lit(1)).alias("valid_promotion_count"))
 
 
 def city_qualifying_pct(
@@ -105,8 +113,8 @@ def city_qualifying_pct(
 
     A row can only qualify if it is below its state's average and its list has
     enough items, so every other row loses its list and is reduced to a count per
-    city. The remaining rows collapse to one per (city, list) before lists are
-    taken apart and looked up.
+    city. The remaining rows collapse to one per (city, list), which is staged; each
+    different list is taken apart once, whatever the number of cities that have it.
     """
     valid = stage_lookup(valid_promotions(sales, min_days, row_key))
     averages = stage_lookup(state_reference_avg(sales, row_key))
@@ -116,13 +124,16 @@ def city_qualifying_pct(
     may_qualify = (F.col("amount") < F.col("reference_avg_amount")) & (
         F.size(F.split("promotion_ids", ",")) >= min_promotions
     )
-    lists = (
+    lists = stage(
         lookup_join(rows, averages, "state", ["city", "amount"], "left")
         .groupBy("city", F.when(may_qualify, F.col("promotion_ids")).alias("promotion_ids"))
         .agg(F.count(F.lit(1)).alias("row_count"))
+        .withColumn("list_key", F.xxhash64("promotion_ids"))
     )
-    counted = _count_valid(lists, valid, ["city", "promotion_ids"], F.max("row_count").alias("row_count"))
-    qualifies = F.col("promotion_ids").isNotNull() & (F.col("valid_promotion_count") >= min_promotions)
+    counts = stage_lookup(_valid_by_list(lists, valid))
+    keyed = lists.select("city", "row_count", F.when(F.col("promotion_ids").isNotNull(), F.col("list_key")).alias("list_key"))
+    counted = lookup_join(keyed, counts, "list_key", ["city"], "left")
+    qualifies = F.col("list_key").isNotNull() & (F.coalesce("valid_promotion_count", F.lit(0)) >= min_promotions)
     n = F.col("cancelled_standard_order_count")
     return (
         counted.groupBy("city")

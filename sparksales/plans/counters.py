@@ -15,14 +15,22 @@ from .winning_size import (
 
 
 def quality_counters(
-    sales: DataFrame, threshold: int = BOUGHT_THRESHOLD, short: int = SHORT_WINDOW, long: int = LONG_WINDOW
+    sales: DataFrame | None,
+    threshold: int = BOUGHT_THRESHOLD,
+    short: int = SHORT_WINDOW,
+    long: int = LONG_WINDOW,
+    daily: DataFrame | None = None,
+    lengths: DataFrame | None = None,
 ) -> DataFrame:
     """One (counter, value) row each.
 
+    ``lengths``: window lengths from elsewhere, for instance an earlier export's; orders of
+    states that it lacks are counted as ``missing_state_window`` and have no buckets.
+
     ``buckets_emitted`` is the number of (order, window day) pairs, which must equal
     the sum over states of orders times window length.
     """
-    daily, lengths, buckets = staged_windows(sales, threshold, short, long)
+    daily, lengths, buckets = staged_windows(sales, threshold, short, long, daily, lengths)
 
     def none_as_zero(column):
         return F.coalesce(column, F.lit(0)).cast("bigint")

@@ -77,10 +77,21 @@ def _buckets(daily: DataFrame, lengths: DataFrame) -> DataFrame:
     )
 
 
-def staged_windows(sales: DataFrame, threshold: int, short: int, long: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(daily, lengths, buckets); the first two are staged, so this runs the scan."""
-    daily = stage(daily_summary(sales))
-    lengths = stage_lookup(state_window_length(daily, threshold, short, long))
+def staged_windows(
+    sales: DataFrame | None,
+    threshold: int,
+    short: int,
+    long: int,
+    daily: DataFrame | None = None,
+    lengths: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(daily, lengths, buckets); the first two are staged, so this runs the scan.
+
+    ``daily`` is a staged ``daily_summary`` to use instead of ``sales``, ``lengths`` a
+    relation like ``state_window_length`` from elsewhere; states without one have no buckets.
+    """
+    daily = stage(daily_summary(sales)) if daily is None else daily
+    lengths = stage_lookup(state_window_length(daily, threshold, short, long) if lengths is None else lengths)
     return daily, lengths, _buckets(daily, lengths)
 
 
@@ -90,10 +101,14 @@ def is_usable(variance: str):
 
 
 def window_bucket_summary(
-    sales: DataFrame, threshold: int = BOUGHT_THRESHOLD, short: int = SHORT_WINDOW, long: int = LONG_WINDOW
+    sales: DataFrame | None,
+    threshold: int = BOUGHT_THRESHOLD,
+    short: int = SHORT_WINDOW,
+    long: int = LONG_WINDOW,
+    daily: DataFrame | None = None,
 ) -> DataFrame:
     """Count, amount sums and population variance per (state, window_date, size)."""
-    _, _, buckets = staged_windows(sales, threshold, short, long)
+    _, _, buckets = staged_windows(sales, threshold, short, long, daily)
     return buckets.select(
         "state",
         "window_date",
@@ -108,14 +123,18 @@ def window_bucket_summary(
 
 
 def winning_category(
-    sales: DataFrame, threshold: int = BOUGHT_THRESHOLD, short: int = SHORT_WINDOW, long: int = LONG_WINDOW
+    sales: DataFrame | None,
+    threshold: int = BOUGHT_THRESHOLD,
+    short: int = SHORT_WINDOW,
+    long: int = LONG_WINDOW,
+    daily: DataFrame | None = None,
 ) -> DataFrame:
     """One winning size per (state, window_date).
 
     Order of preference: more purchases; a known variance before an unknown one;
     smaller variance; smaller size name.
     """
-    _, _, buckets = staged_windows(sales, threshold, short, long)
+    _, _, buckets = staged_windows(sales, threshold, short, long, daily)
     winners = best_per_group(
         buckets.filter(is_usable("population_variance")).select(
             "state", "window_date", "size", "purchase_count", "population_variance", "window_length"

@@ -37,7 +37,7 @@ RAW_SCHEMA = T.StructType([T.StructField(name, T.StringType(), True) for name in
 
 # Typed relation every operator starts from: name -> (raw column, kind).
 SALES_COLUMNS = {
-    "row_id": ("index", "long"),
+    "row_id": ("index", "row id"),
     "order_id": ("Order ID", "text"),
     "order_date": ("Date", "date"),
     "status": ("Status", "text"),

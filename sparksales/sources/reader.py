@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import clean, parse_date, parse_double, parse_long
+from ..functions import clean, parse_date, parse_double, parse_long, parse_row_id
 from ..schema import RAW_COLUMNS, RAW_SCHEMA, SALES_COLUMNS
 
 
@@ -33,6 +33,7 @@ def typed_sales(raw: DataFrame, clamp_days: bool = False) -> DataFrame:
     parsers = {
         "text": clean,
         "long": parse_long,
+        "row id": parse_row_id,
         "double": parse_double,
         "date": lambda text: parse_date(text, clamp=clamp_days),
     }

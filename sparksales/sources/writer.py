@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame
 
 from ..operators.staging import hadoop_path, stage, staged_bytes
 
-SINGLE_FILE_BYTES = 256 * 1024 * 1024
-
 _CSV = dict(
     header=True,
     quote='"',
@@ -38,15 +36,15 @@ def write_result(
     fmt: str = "csv",
     single_file: bool = False,
     order_by: Sequence[str] = (),
-    single_file_bytes: int = SINGLE_FILE_BYTES,
+    single_file_bytes: int | None = None,
 ) -> None:
     """Write a result; fails if ``path`` exists.
 
     By default ``path`` is a folder of parts written in parallel, in the order of
     ``df``. With ``single_file`` the result becomes one file at exactly ``path``,
-    sorted by ``order_by`` and moved into place when complete. That is for reports:
-    the result is computed in parallel first and refused if it is larger than
-    ``single_file_bytes``.
+    sorted by ``order_by`` and moved into place when complete. The result is computed
+    in parallel first; one task then sorts and writes it. ``single_file_bytes`` refuses
+    a result whose staged files are larger.
     """
     spark = df.sparkSession
     fs, target = hadoop_path(spark, path)
@@ -57,14 +55,15 @@ def write_result(
         return
 
     staged = stage(df)
-    size = staged_bytes(staged)
-    if size > single_file_bytes:
-        raise ValueError(f"result has {size} bytes, too large for one file; write it as a folder")
-    ordered = staged.orderBy(*order_by) if order_by else staged
+    if single_file_bytes is not None and staged_bytes(staged) > single_file_bytes:
+        raise ValueError(f"result has {staged_bytes(staged)} bytes, more than the {single_file_bytes} asked for")
+    ordered = staged.coalesce(1)
+    if order_by:
+        ordered = ordered.sortWithinPartitions(*order_by)
     target = fs.makeQualified(target)
     _, scratch = hadoop_path(spark, f"{target.getParent().toString()}/.{target.getName()}-{uuid.uuid4().hex}")
     try:
-        _write(ordered.coalesce(1), scratch.toString(), fmt)
+        _write(ordered, scratch.toString(), fmt)
         parts = [status.getPath() for status in fs.listStatus(scratch) if status.getPath().getName().startswith("part-")]
         if len(parts) != 1:
             raise RuntimeError(f"expected one part file, found {len(parts)}")

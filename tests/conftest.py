@@ -17,7 +17,12 @@ def event_folder(tmp_path_factory):
 
 
 @pytest.fixture(scope="session")
-def spark(event_folder):
+def staging(tmp_path_factory):
+    return tmp_path_factory.mktemp("staging")
+
+
+@pytest.fixture(scope="session")
+def spark(event_folder, staging):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("sparksales-tests")
@@ -25,6 +30,7 @@ def spark(event_folder):
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", f"file://{staging}")
         .config("spark.eventLog.enabled", "true")
         .config("spark.eventLog.compress", "false")
         .config("spark.eventLog.dir", f"file://{event_folder}")

@@ -45,8 +45,23 @@ def test_counts_per_row(spark):
         dict(CANCELLED, row_id=14, service_level="Expedited"),
         dict(CANCELLED, row_id=15, city=""),
     ]
-    got = dict(tuple(row) for row in ss.valid_promotion_counts(sales_frame(spark, rows)).collect())
-    assert got == {10: 2, 11: 0, 12: 0, 13: 1}
+    frame = sales_frame(spark, rows)
+    got = dict(tuple(row) for row in ss.valid_promotion_counts(frame).collect())
+    ids = {row.row_id for row in frame.collect()} - {None}
+    assert set(got) == ids
+    assert {key: got[key] for key in range(10, 16)} == {10: 2, 11: 0, 12: 0, 13: 1, 14: 2, 15: 2}
+
+
+def test_repeated_row_ids_count_together(spark):
+    rows = lasting("A", "B", "C") + [
+        dict(row_id=50, promotion_ids="A,B"),
+        dict(CANCELLED, row_id=50, promotion_ids="A,B"),
+        dict(CANCELLED, row_id=50, promotion_ids="C,short"),
+        dict(CANCELLED, row_id=51, promotion_ids=None),
+        dict(CANCELLED, row_id=51, promotion_ids="short"),
+    ]
+    got = [tuple(row) for row in ss.valid_promotion_counts(sales_frame(spark, rows)).collect()]
+    assert (50, 3) in got and (51, 0) in got and len(got) == len({key for key, _ in got})
 
 
 def test_reference_average(spark):

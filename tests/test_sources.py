@@ -97,11 +97,24 @@ def test_single_parquet_file_is_sorted(spark, tmp_path):
 
 def test_single_file_refuses_large_results(spark, tmp_path):
     target = tmp_path / "out.parquet"
-    with pytest.raises(ValueError, match="too large"):
+    with pytest.raises(ValueError, match="more than the 10 asked for"):
         ss.write_result(spark.range(100), str(target), "parquet", single_file=True, single_file_bytes=10)
     assert not target.exists()
 
 
+def test_single_file_has_no_limit_of_its_own(spark, tmp_path):
+    target = tmp_path / "out.parquet"
+    rows = spark.range(200_000).select("id", F.repeat(F.sha2(F.col("id").cast("string"), 512), 16).alias("text"))
+    ss.write_result(rows, str(target), "parquet", single_file=True, order_by=[F.desc("id")])
+    assert target.is_file() and pq.read_table(target, columns=["id"])["id"].to_pylist() == list(range(199_999, -1, -1))
+
+
+@pytest.mark.parametrize("text, expected", [("17", 17), ("17.0", 17), (" 1.9 ", 1), ("-3.0", -3), ("x", None), ("", None), ("1e3", 1000), ("9" * 25, None)])
+def test_row_ids_of_float_columns(spark, text, expected):
+    frame = spark.createDataFrame([(text,)], "t string")
+    assert frame.select(ss.parse_row_id(F.col("t"))).first()[0] == expected
+
+
 def test_empty_single_file_has_a_header(spark, tmp_path):
     target = tmp_path / "out.csv"
     ss.write_result(results(spark).filter("n > 9"), str(target), single_file=True, order_by=["n"])

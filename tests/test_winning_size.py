@@ -127,6 +127,16 @@ def test_counters_reconcile(spark):
     assert counters["missing_state_window"] == counters["malformed_buckets"] == 0
 
 
+def test_given_window_lengths_may_lack_a_state(spark):
+    sales = sales_frame(spark, [dict(state="A"), dict(state="A"), dict(state="B")])
+    daily = ss.stage(ss.daily_summary(sales))
+    lengths = ss.state_window_length(daily, threshold=60).filter("state = 'A'")
+    counters = {row["counter"]: row["value"] for row in ss.quality_counters(None, daily=daily, lengths=lengths).collect()}
+    assert (counters["missing_state_window"], counters["bought_orders"]) == (1, 3)
+    assert counters["buckets_emitted"] == counters["buckets_expected"] == 20
+    assert ss.winning_category(None, daily=daily).count() == 20
+
+
 def test_counters_of_nothing(spark):
     counters = ss.quality_counters(sales_frame(spark, [dict(status="Cancelled")]))
     assert {row["value"] for row in counters.collect()} == {0}
