@@ -1,0 +1,111 @@
+"""The corpus pipeline, stage by stage, against plain definitions."""
+
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+import corpus_pipeline
+from sparksales.llm import byte_bpe
+from sparksales.operators import stage
+
+from .cases import odd_documents
+from .test_matching import contaminated, near_components
+from .test_substrings import repeated_words
+
+FOLDER = "/root/testdata/sf0.001"
+NAMES = [name for name, _ in corpus_pipeline.STAGES]
+
+
+@pytest.fixture(scope="module")
+def outputs(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    # A row twice, one without a text, one without an id.
+    odd = docs.limit(1).withColumns({"doc_id": F.lit(None).cast("bigint"), "text": F.lit("only here " * 40)})
+    docs = stage(docs.unionByName(docs.where("doc_id = 5")).unionByName(odd))
+    found = [docs]
+    for _, apply in corpus_pipeline.STAGES:
+        docs = stage(apply(spark, docs, FOLDER))
+        found.append(docs)
+    return found
+
+
+def texts(df):
+    return [(row.doc_id, row.text) for row in df.collect()]
+
+
+def test_stages_are_registered():
+    assert "pipeline" in contract.queries() and 4 <= len(corpus_pipeline.STAGES) <= 5
+
+
+def test_all_but_the_last_keep_the_columns(outputs):
+    assert all(df.columns == outputs[0].columns for df in outputs[:-1])
+
+
+def test_rejected_documents_go(spark, outputs):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    kept, given = {k for k, _ in texts(outputs[1])}, {k for k, _ in texts(outputs[0])}
+    good = [k for k in given if labels.get(k) == 1]
+    bad = [k for k in given if labels.get(k) == 0]
+    assert np.mean([k in kept for k in good]) > 0.97 and np.mean([k in kept for k in bad]) < 0.2
+
+
+def test_one_document_of_each_group_stays(outputs):
+    rows, kept = texts(outputs[1]), texts(outputs[2])
+    expected = {component for _, _, component in near_components(rows, 4, 4)}
+    assert sorted(map(str, (k for k, _ in kept))) == sorted(map(str, expected))
+    assert set(kept) <= set(rows)
+
+
+def test_repeated_passages_go(outputs):
+    rows = texts(outputs[2])
+    expected = [(k, t if not gone else left.decode()) for (k, t), (_, _, gone, left) in zip(rows, repeated_words(rows, 20))]
+    assert sorted(map(repr, texts(outputs[3]))) == sorted(map(repr, expected))
+    assert all(row.n_chars == len(row.text) for row in outputs[3].where("text is not null").collect())
+
+
+def test_contaminated_documents_go(spark, outputs):
+    rows = texts(outputs[3])
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    expected = [row for row, found in zip(rows, contaminated(rows, items, 10)) if found[2] == 0]
+    assert len(expected) < len(rows)
+    assert sorted(map(repr, texts(outputs[4]))) == sorted(map(repr, expected))
+
+
+def test_token_ids_are_those_of_the_library(outputs):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    library = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.load_ranks(path), special_tokens={}
+    )
+    got = [(r.doc_id, bytes(r.token_ids), r.n_tokens, r.decoded_sha256) for r in outputs[5].collect()]
+    expected = []
+    for key, text in texts(outputs[4]):
+        ids = library.encode_ordinary(text or "")
+        digest = hashlib.sha256((text or "").encode()).hexdigest()
+        expected.append((key, np.array(ids, "<u4").tobytes(), len(ids), digest))
+    assert sorted(map(repr, got)) == sorted(map(repr, expected))
+
+
+def test_run_gives_the_rows_of_the_last_stage(spark):
+    rows = corpus_pipeline.run(spark, FOLDER)
+    assert {"doc_id", "token_ids", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(rows.columns)
+    assert 0 < rows.count() < spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+
+
+def test_stages_on_odd_documents(spark):
+    docs = odd_documents(spark).select("doc_id", "text", "lang", "source", "n_chars")
+    for _, apply in corpus_pipeline.STAGES:
+        docs = stage(apply(spark, docs, FOLDER))
+    assert docs.count() > 0
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_empty_documents(spark, name):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
+    assert dict(corpus_pipeline.STAGES)[name](spark, docs, FOLDER).count() == 0
