@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .blocks import bucket_of, in_order, joined_bytes, numbers, text_blocks
+from .blocks import bucket_of, in_order, joined_bytes, keys_and_kept, numbers, text_blocks
 from .hashing import Stretches, mix, word_names
 from .shipping import map_cogroups, map_groups
 from .tables import with_fields
@@ -31,6 +31,7 @@ from .tables import with_fields
 ORDER = 2
 ALPHA = 0.4
 UNSEEN = 0.5
+PART_NAMES = 1 << 18
 
 _ASKED = "bucket int, origin int, names binary, counts binary"
 _ASKED_ARROW = pa.schema(
@@ -107,17 +108,24 @@ def _ask(order: int, buckets: int):
 
 def _add_up(table):
     """Total count of every name, back to each block that has it, in the order of its names."""
-    origins = numbers(table["origin"])
-    rows = [(from_deltas(n), from_planes(c)) for n, c in zip(table["names"].to_pylist(), table["counts"].to_pylist())]
-    every = np.concatenate([names for names, _ in rows])
-    distinct, at = np.unique(every, return_inverse=True)
-    sums = np.zeros(len(distinct), np.uint64)
-    np.add.at(sums, at, np.concatenate([counts for _, counts in rows]))
-    totals = sums[at]
-    ends = np.cumsum([len(names) for names, _ in rows])
-    told = [planes(totals[end - len(names) : end]) for end, (names, _) in zip(ends, rows)]
+    names = [from_deltas(packed) for packed in table["names"].to_pylist()]
+    counts = [from_planes(packed) for packed in table["counts"].to_pylist()]
+    totals = [np.empty(len(own), np.uint64) for own in names]
+    low, high = min(int(own[0]) for own in names), max(int(own[-1]) for own in names) + 1
+    parts = max(1, sum(map(len, names)) // PART_NAMES)
+    for part in range(parts):
+        # One range of names at a time, so that sorting takes little memory.
+        first, last = (low + (high - low) * (part + i) // parts for i in range(2))
+        cuts = [[int(np.searchsorted(own, np.uint64(edge))) if edge <= own[-1] else len(own) for edge in (first, last)] for own in names]
+        distinct, at = np.unique(np.concatenate([own[a:b] for own, (a, b) in zip(names, cuts)]), return_inverse=True)
+        sums = np.zeros(len(distinct), np.uint64)
+        np.add.at(sums, at, np.concatenate([own[a:b] for own, (a, b) in zip(counts, cuts)]))
+        done = 0
+        for own, (a, b) in zip(totals, cuts):
+            own[a:b] = sums[at[done : done + b - a]]
+            done += b - a
     return pa.table(
-        {"block": origins, "bucket": numbers(table["bucket"]), "counts": told},
+        {"block": numbers(table["origin"]), "bucket": numbers(table["bucket"]), "counts": [planes(own) for own in totals]},
         schema=_TOLD_ARROW,
     )
 
@@ -182,12 +190,11 @@ def scores(
         logs = log_scores(grams, names, counts, words, alpha, unseen)
         sums = np.bincount(grams.owner, logs, grams.docs)
         n = grams.n_words
-        keys, no_key = grams.table["doc_key"].to_pylist(), grams.table["no_key"].to_pylist()
         some = n > 0
         mean = sums / np.maximum(n, 1)
         return pa.table(
             [
-                pa.array([None if gone else k for k, gone in zip(keys, no_key)], pa.int64()),
+                *keys_and_kept(grams.table, [], text),
                 pa.array(n, pa.int64()),
                 pa.array(sums, pa.float64(), mask=~some),
                 pa.array(mean, pa.float64(), mask=~some),

@@ -15,6 +15,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 BLOCK_BYTES = 8 << 20
@@ -34,7 +35,7 @@ def block_counts(df: DataFrame, size: Column) -> tuple[int, int]:
 
 
 def text_blocks(docs: DataFrame, text: str, key: str, keep: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
-    """(block, doc_key, row_hash, no_key, text, keep_...) of every row, and the number of buckets.
+    """(block, doc_key, row_hash, no_key, text, no_text, keep_...) of every row, and the number of buckets.
 
     A null key becomes the smallest bigint, a null text an empty one. Rows that are
     equal in key and text have equal ``row_hash`` and meet in one block.
@@ -49,7 +50,8 @@ def text_blocks(docs: DataFrame, text: str, key: str, keep: tuple[str, ...] = ()
         row_hash.alias("row_hash"),
         F.col(key).isNull().alias("no_key"),
         body.alias("text"),
-        *[F.col(name).alias(f"keep_{name}") for name in keep if name != key],
+        F.col(text).isNull().alias("no_text"),
+        *[F.col(name).alias(f"keep_{name}") for name in keep if name not in (key, text)],
     ), buckets
 
 
@@ -62,6 +64,18 @@ def in_order(table: pa.Table) -> pa.Table:
     return table.take(np.lexsort((numbers(table["row_hash"]), numbers(table["doc_key"]))))
 
 
+def keys_and_kept(table: pa.Table, names: list[str], text: str) -> list[pa.Array]:
+    """The ids of a block's rows and the columns ``names``, with the nulls they came with."""
+    keys = pa.array(numbers(table["doc_key"]), mask=numbers(table["no_key"]))
+
+    def column(name: str) -> pa.Array:
+        if name != text:
+            return table[f"keep_{name}"].combine_chunks()
+        return pc.if_else(table["no_text"], pa.scalar(None, pa.string()), table["text"].cast(pa.string())).combine_chunks()
+
+    return [keys, *[column(name) for name in names]]
+
+
 def joined_bytes(column: pa.ChunkedArray) -> tuple[bytes, np.ndarray]:
     """All texts, a line feed after each, and where each starts (one more than texts)."""
     texts = [b"" if t is None else t for t in column.cast(pa.large_binary()).to_pylist()]

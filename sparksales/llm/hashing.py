@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 
+SLICE_BYTES = 1 << 19
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
@@ -54,6 +55,12 @@ class Stretches:
     def raw(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return (self._sums[ends] - self._sums[starts]) * self._undo[starts]
 
+    def every(self, length: int) -> np.ndarray:
+        """Names of all stretches of one length."""
+        count = max(len(self._sums) - length, 0)
+        raw = (self._sums[length : length + count] - self._sums[:count]) * self._undo[:count]
+        return mix(raw + np.uint64(length))
+
     def names(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix(self.raw(starts, ends) + (ends - starts).astype(np.uint64))
 
@@ -73,4 +80,12 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def word_names(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, names) of the words of UTF-8 bytes."""
     starts, ends = word_bounds(data)
-    return starts, ends, Stretches(BYTE_NAMES[data]).names(starts, ends)
+    names, at = np.empty(len(starts), np.uint64), 0
+    while at < len(starts):
+        # A slice of whole words at a time: the sums take eight times the memory of the bytes.
+        low = starts[at]
+        end = max(at + 1, int(np.searchsorted(ends, low + SLICE_BYTES, side="right")))
+        some = Stretches(BYTE_NAMES[data[low : ends[end - 1]]])
+        names[at:end] = some.names(starts[at:end] - low, ends[at:end] - low)
+        at = end
+    return starts, ends, names

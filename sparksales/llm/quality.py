@@ -31,7 +31,7 @@ from .tables import free_name, with_fields
 
 FIT_ROWS = 200_000
 FIT_TASKS = 16
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 _CLASSES = {
     "upper": [(0x41, 0x5A)],

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .blocks import bucket_of, covered, in_order, joined_bytes, numbers, ranges, text_blocks
+from .blocks import bucket_of, covered, in_order, joined_bytes, keys_and_kept, numbers, ranges, text_blocks
 from .hashing import Stretches, combine, mix, word_names
 from .repeats import OPEN, classes, find_spans, grouped_windows, marked_starts, received, select, send
 from .shipping import map_cogroups
@@ -277,9 +277,7 @@ def remove_repeats(
             stay = np.flatnonzero(~mask) + a
             words = zip(w.start[stay].tolist(), w.end[stay].tolist())
             kept_text.append(b" ".join([w.data[s:e] for s, e in words]))
-        doc_key, no_key = w.table["doc_key"].to_pylist(), w.table["no_key"].to_pylist()
-        columns = [pa.array([None if n else k for k, n in zip(doc_key, no_key)], pa.int64())]
-        columns += [w.table[f"keep_{name}"].combine_chunks() for name in others]
+        columns = keys_and_kept(w.table, others, text)
         columns += [pa.array(n_words, pa.int64()), pa.array(removed, pa.int64())]
         columns.append(pa.array(spans_of, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))))
         columns.append(pa.array(kept_text, pa.binary()))
