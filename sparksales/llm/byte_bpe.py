@@ -30,9 +30,10 @@ from .shipping import map_batches
 from .tables import with_fields
 
 SLICE_BYTES = 4 << 20
-CACHED_PIECES = 400_000
-CACHED_PAIRS = 1_000_000
+CACHED_PIECES = 200_000
+CACHED_PAIRS = 600_000
 _NONE = 1 << 60
+_PAIR = 1 << 24
 _TAILS = frozenset(".,;:!?")
 
 # With this pattern a single space between two characters that are no white space always
@@ -56,7 +57,8 @@ class PrefixEncoder:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._sizes = {rank: len(token) for token, rank in ranks.items()}
+        self._pairs: dict[int, bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._endings = ahocorasick.Automaton()
         for token, rank in ranks.items():
@@ -109,7 +111,7 @@ class PrefixEncoder:
 
     def stays(self, before: int, last: int) -> bool:
         """Whether the merges leave the pair of tokens as it is. before < 0: none."""
-        key = (before, last)
+        key = before * _PAIR + last
         known = self._pairs.get(key)
         if known is None:
             if len(self._pairs) >= CACHED_PAIRS:
@@ -119,20 +121,20 @@ class PrefixEncoder:
 
     def extend(self, lasts: list[int], data: bytes, until: int | None = None) -> None:
         """Add to ``lasts`` the last tokens of the prefixes of ``data`` that it does not have yet."""
-        done = len(lasts)
-        from_ = max(0, done - self.longest)
-        pairs = self._pairs
+        have = len(lasts)
+        from_ = max(0, have - self.longest)
+        known = self._pairs.get
         # All tokens that end at a position, the longest first.
         for at, (token, size) in self._endings.iter(data[from_:until].decode("latin-1")):
             end = from_ + at + 1
-            start = end - size
-            if end == len(lasts) + 1:
-                before = lasts[start - 1] if start else -1
-                valid = pairs.get((before, token))
+            if end > have:
+                before = lasts[end - size - 1] if end > size else -1
+                valid = known(before * _PAIR + token)
                 if self.stays(before, token) if valid is None else valid:
                     lasts.append(token)
-            elif end > len(lasts):
-                raise ValueError("the ranks do not hold every single byte")
+                    have = end
+        if have < (len(data) if until is None else until):
+            raise ValueError("the ranks do not hold every single byte")
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
@@ -144,11 +146,11 @@ class PrefixEncoder:
 
     def read_back(self, lasts: list[int], at: int) -> list[int]:
         """Tokens of the first ``at`` bytes, from the last one back."""
-        found, tokens = [], self.tokens
+        found, sizes = [], self._sizes
         while at:
             token = lasts[at - 1]
             found.append(token)
-            at -= len(tokens[token])
+            at -= sizes[token]
         found.reverse()
         return found
 
@@ -190,14 +192,20 @@ def _as_bytes(ids: list[int]) -> bytes:
 
 
 class _Cached(dict):
+    """Two generations: what is used again moves to the young one, the rest is dropped."""
+
     def __init__(self, compute):
         super().__init__()
-        self.compute = compute
+        self.compute, self.old = compute, {}
 
     def __missing__(self, key: str) -> bytes:
         if len(self) >= CACHED_PIECES:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.compute(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
         return value
 
 
