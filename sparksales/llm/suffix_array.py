@@ -21,15 +21,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .blocks import bucket_of, covered, in_order, joined_bytes, numbers, ranges, text_blocks
-from .hashing import BYTE_NAMES, Stretches, combine
+from .blocks import bucket_of, covered, in_order, joined_bytes, keys_and_kept, ranges, text_blocks
+from .hashing import BYTE_NAMES, Stretches, combine, mix
 from .repeats import OPEN, SENT_ARROW, classes, find_spans, grouped_windows, marked_starts, received, select
 from .shipping import map_cogroups
 from .tables import with_fields
 
 WINDOW = 200
-GRAM = 32
-SLICE_BYTES = 1 << 20
+GRAM = 64
+SLICE_BYTES = 1 << 18
+SHARD_BYTES = 1 << 18
 MOST_BUCKETS = 1024
 
 
@@ -207,15 +208,15 @@ def byte_regions(data: np.ndarray, doc_start: np.ndarray, sizes: np.ndarray, win
         start = np.zeros(0, np.int64)
         return {"name": start.astype(np.uint64), "content": start.astype(np.uint64), "row": start, "first": start, "last": start}
     stretches = Stretches(BYTE_NAMES[data])
-    at = np.arange(len(data) - gram + 1)
-    names = stretches.names(at, at + gram)
+    names = stretches.every(gram)
     keep = np.uint64((1 << 64) - (1 << 32))
-    smallest = _smallest_ahead((names & keep) | at.astype(np.uint64), window - gram + 1)
+    smallest = _smallest_ahead((names & keep) | np.arange(len(names), dtype=np.uint64), window - gram + 1)
     chosen = (smallest[start] & ~keep).astype(np.int64)
     first, last = grouped_windows(chosen, owner, start)
     a, b, anchor, row = start[first], start[last], chosen[first], owner[first]
     return {
-        "name": names[anchor],
+        # Anchors are the smallest names around; mixed, they spread over all shards.
+        "name": mix(names[anchor]),
         "content": combine(stretches.names(a, b + window), (anchor - a).astype(np.uint64)),
         "row": row,
         "first": a - doc_start[row],
@@ -284,7 +285,7 @@ def _extract(window: int, buckets: int):
         rows = []
         for some in np.split(order, np.flatnonzero(np.diff(to[order])) + 1):
             body = b"".join([t.data[a:b] for a, b in zip(low[some].tolist(), high[some].tolist())])
-            packed = {k: entries[k][some].astype(np.int32).tobytes() for k in ("row", "first", "last")}
+            packed = {k: entries[k][some].tobytes() for k in ("name", "row", "first", "last")}
             rows.append({"bucket": int(to[some[0]]), "kind": OPEN, "origin": block, "body": body, **packed})
         empty = {name: b"" for name in SENT_ARROW.names}
         return [pa.Table.from_pylist([empty | row for row in rows], SENT_ARROW)]
@@ -298,9 +299,25 @@ def _compare(window: int):
         counts = entries["last"].astype(np.int64) - entries["first"] + 1
         sizes = counts + window - 1
         begin = np.cumsum(sizes) - sizes
-        shared = shared_starts(entries["body"], ranges(begin, counts), window)
-        of = np.repeat(np.arange(len(counts)), counts)[shared]
-        start = ranges(entries["first"].astype(np.int64), counts)[shared].astype(np.int32)
+        # Regions of different names share no window, so arrays of a few names at a time do.
+        order = np.lexsort((entries["first"], entries["row"], entries["origin"], entries["name"]))
+        name, so_far = entries["name"][order], np.cumsum(sizes[order])
+        ends = np.flatnonzero(np.r_[name[1:] != name[:-1], True]) + 1 if len(order) else order
+        marked, at = [(order[:0], order[:0])], 0
+        while at < len(order):
+            done = so_far[at - 1] if at else 0
+            end = ends[np.searchsorted(ends, at, side="right")]
+            more = ends[max(0, np.searchsorted(so_far[ends - 1], done + SHARD_BYTES, side="right") - 1)]
+            some = order[at : max(end, more)]
+            at = max(end, more)
+            data = entries["body"][ranges(begin[some], sizes[some])]
+            low = np.cumsum(sizes[some]) - sizes[some]
+            shared = shared_starts(data, ranges(low, counts[some]), window)
+            of = np.repeat(some, counts[some])[shared]
+            start = ranges(entries["first"][some].astype(np.int64), counts[some])[shared]
+            marked.append((of, start))
+        of, start = (np.concatenate(part) for part in zip(*marked))
+        start = start.astype(np.int32)
         return {"row": entries["row"][of], "first": start, "last": start, "origin": entries["origin"][of]}
 
     return compare
@@ -319,10 +336,10 @@ def remove_repeats(
     ``removed``: array of (start, end) byte positions, end exclusive; ``kept``: the bytes
     that stay. ``gram`` is at most ``window``.
     """
-    blocks, count = text_blocks(docs, text, key, keep)
+    blocks, buckets = text_blocks(docs, text, key, keep)
     gram = min(gram, window)
     spans = find_spans(
-        blocks, count, _regions(window, gram), _decide, _extract(window, count), _compare(window)
+        blocks, buckets, _regions(window, gram), _decide, _extract(window, buckets), _compare(window)
     )
     others = [name for name in docs.columns if name in keep and name != key]
     schema = with_fields(
@@ -348,9 +365,7 @@ def remove_repeats(
             bounds = zip(np.flatnonzero(steps == 1).tolist(), np.flatnonzero(steps == -1).tolist())
             spans_of.append([{"start": s, "end": e} for s, e in bounds])
             kept.append(data[a : a + n][~mask].tobytes())
-        doc_key, no_key = t.table["doc_key"].to_pylist(), t.table["no_key"].to_pylist()
-        columns = [pa.array([None if n else k for k, n in zip(doc_key, no_key)], pa.int64())]
-        columns += [t.table[f"keep_{name}"].combine_chunks() for name in others]
+        columns = keys_and_kept(t.table, others, text)
         columns += [pa.array(t.size, pa.int64()), pa.array(removed, pa.int64())]
         columns.append(pa.array(spans_of, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))))
         columns.append(pa.array(kept, pa.binary()))
