@@ -32,7 +32,7 @@ from .tables import with_fields
 
 ORDER = 3
 FIT_DOCUMENTS = 3000
-MAX_CONTEXTS = 16384
+MAX_CONTEXTS = 8192
 SLICE_BYTES = 1 << 20
 
 
@@ -102,16 +102,20 @@ class LanguageModel:
         return total
 
 
-def build_model(rows: list[tuple[str, int, int, int]], max_contexts: int = MAX_CONTEXTS) -> LanguageModel | None:
-    """From (language, length, key, count) of byte stretches."""
-    if not rows:
+def build_model(rows: pa.Table, max_contexts: int = MAX_CONTEXTS) -> LanguageModel | None:
+    """From (lang, length, key, n) of byte stretches. Single precision keeps the tables small."""
+    if not rows.num_rows:
         return None
-    languages = sorted({row[0] for row in rows})
-    column = {name: at for at, name in enumerate(languages)}
-    by_length: dict[int, list] = {length: [] for length in range(1, ORDER + 2)}
-    for name, length, key, count in rows:
-        by_length[length].append((key, column[name], count))
-    seen = sorted({key for key, _, _ in by_length[1]})
+    coded = rows["lang"].combine_chunks().dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    languages = sorted(names)
+    column = np.array([languages.index(name) for name in names])[coded.indices.to_numpy()]
+    length_of, key_of, n_of = (rows[name].to_numpy() for name in ("length", "key", "n"))
+    by_length = {
+        length: np.column_stack([values[length_of == length] for values in (key_of, column, n_of)])
+        for length in range(1, ORDER + 2)
+    }
+    seen = np.unique(by_length[1][:, 0])
     byte_class = np.zeros(256, np.uint16)
     byte_class[seen] = np.arange(1, len(seen) + 1)
     classes = len(seen) + 1
@@ -121,7 +125,7 @@ def build_model(rows: list[tuple[str, int, int, int]], max_contexts: int = MAX_C
     levels = []
     previous = None
     for length in range(1, ORDER + 2):
-        grams = np.array(by_length[length], np.int64).reshape(-1, 3)
+        grams = by_length[length].astype(np.int64)
         context, symbol = grams[:, 0] >> 8, byte_class[grams[:, 0] & 255]
         every, at = np.unique(context, return_inverse=True)
         if len(every) > max_contexts:
@@ -133,7 +137,7 @@ def build_model(rows: list[tuple[str, int, int, int]], max_contexts: int = MAX_C
             at, symbol, grams = at[mine], symbol[mine], grams[mine]
         counts = np.zeros((len(every), classes, len(languages)), np.float32)
         counts[at, symbol, grams[:, 1]] = grams[:, 2]
-        total, different = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
+        total, different = (x.sum(axis=1, keepdims=True, dtype=np.float32) for x in (counts, counts > 0))
         base = len(ids) if length > 1 else 0
         if length == 1:
             shorter = np.full((1, classes, len(languages)), 1 / 256, np.float32)
@@ -151,11 +155,13 @@ def build_model(rows: list[tuple[str, int, int, int]], max_contexts: int = MAX_C
                 path = [byte_class[key >> 8 * j & 255] for j in range(length - 2, -1, -1)]
                 node_of[(Ellipsis, *path)] = base + i
         with np.errstate(divide="ignore", invalid="ignore"):
-            escape = np.where(total > 0, different / (total + different), 1).astype(np.float32)
-            chance = np.where(counts > 0, counts / (total + different), escape * shorter)
+            escape = np.where(total > 0, different / (total + different), np.float32(1))
+            unseen = counts == 0
+            chance = np.divide(counts, total + different, out=counts)
+        np.multiply(escape, shorter, out=chance, where=unseen)
         levels.append(-np.log2(chance))
         previous = chance if previous is None else np.concatenate([previous, chance])
-    bits = np.concatenate(levels).reshape(-1, len(languages)).astype(np.float32)
+    bits = np.concatenate(levels).reshape(-1, len(languages))
     return LanguageModel(languages, byte_class, node_of.ravel(), bits)
 
 
@@ -184,8 +190,8 @@ def learn(
     kept = deepest.groupBy(context.alias("context")).agg(F.sum("n").alias("weight"))
     kept = kept.orderBy(F.desc("weight"), "context").limit(max_contexts).select("context")
     deepest = deepest.join(F.broadcast(kept), context == F.col("context"), "left_semi")
-    rows = grams.where(F.col("length") <= ORDER).unionByName(deepest).orderBy("lang", "length", "key").collect()
-    return build_model([tuple(row) for row in rows], max_contexts)
+    rows = grams.where(F.col("length") <= ORDER).unionByName(deepest)
+    return build_model(rows.toArrow(), max_contexts)
 
 
 def predict(docs: DataFrame, model: LanguageModel | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
