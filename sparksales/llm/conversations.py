@@ -21,6 +21,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..operators.staging import stage
+
 CHUNK_TURNS = 1024
 START, END = "<|im_start|>", "<|im_end|>"
 
@@ -92,7 +94,8 @@ def render(turns: DataFrame, start: str = START, end: str = END) -> DataFrame:
 
 def collapse_and_render(turns: DataFrame) -> DataFrame:
     """(conv_id, n_turns, n_copies, text) of the maximal conversations."""
-    prefixes = rolling_prefixes(turns)
+    # Staged, because ends, inner prefixes and texts all come from it.
+    prefixes = stage(rolling_prefixes(turns))
     kept = maximal_conversations(prefixes)
     names = kept.select(F.col("conv_id").alias("_conv"), "n_turns", "n_copies")
     same = F.col("conv_id").eqNullSafe(F.col("_conv"))
