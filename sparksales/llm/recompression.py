@@ -186,8 +186,8 @@ def _regions(window: int, rounds: int):
     return regions
 
 
-def _later_ones(entries) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Indices of entries later than the first of their class, of the others, and of firsts of names with several classes."""
+def _later_ones(entries, crowded_names=()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Indices of entries later than the first of their class, of the others, and of firsts of names with several classes or crowded ones."""
     order, new_class, new_name = classes(entries["name"], entries["content"], [entries["doc_key"], entries["first"]])
     key, start = entries["doc_key"][order], entries["first"][order]
     head = np.flatnonzero(new_class)
@@ -195,20 +195,24 @@ def _later_ones(entries) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     later = (key != key[head][of_class]) | (start != start[head][of_class])
     of_name = np.cumsum(new_name) - 1
     several = np.bincount(of_name[head])[of_name] > 1
+    several |= np.isin(entries["name"][order], crowded_names)
     return order[later], order[~later], order[~later & several]
 
 
-def _decide(entries):
+def _decide(entries, crowded_names):
     if not len(entries["row"]):
-        return {**entries}, {**entries}
-    later, _, open_ = _later_ones(entries)
+        return {**entries}, {**entries}, {**entries}
+    later, _, open_ = _later_ones(entries, crowded_names)
     decided = {key: entries[key][later] for key in ("row", "first", "last", "origin")}
-    return decided, {key: entries[key][open_] for key in ("doc_key", "row", "first", "last", "origin")}
+    # All that is open is compared by windows; no name needs to be told apart.
+    none = {key: entries[key][:0] for key in ("row", "origin")}
+    return decided, {key: entries[key][open_] for key in ("doc_key", "row", "first", "last", "origin")}, none
 
 
 def _extract(window: int, buckets: int):
-    def extract(block, table, entries):
+    def extract(block, table, open_, crowded):
         w = Words(table)
+        entries = {key: np.concatenate([open_[key], crowded[key]]) for key in ("doc_key", "row", "first", "last")}
         size = entries["last"].astype(np.int64) - entries["first"] + 1
         start = ranges(entries["first"].astype(np.int64), size)
         row = np.repeat(entries["row"], size)
@@ -221,7 +225,7 @@ def _extract(window: int, buckets: int):
             "first": start.astype(np.int32),
             "last": start.astype(np.int32),
         }
-        return [send(OPEN, block, bucket_of(name, buckets), windows)]
+        return {"row": row[:0]}, [send(OPEN, block, bucket_of(name, buckets), windows)]
 
     return extract
 

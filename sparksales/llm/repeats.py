@@ -13,7 +13,15 @@ a region. Regions travel to a bucket by their anchor's name:
 Inside a block, classes are formed before anything is sent. A passage that a third of
 all documents share is sent once per block, not once per document.
 
-Packed rows carry ``kind``: a span that is already decided rides along unchanged.
+Regions at the edges of such a passage differ, because they reach into what surrounds it,
+and still have one anchor. A name with more than ``MOST_CLASSES`` classes in a block is
+crowded: the block keeps the regions to itself and sends the name alone. Regions of
+crowded names are compared window by window under the windows' own names, of which a
+block sends each once. So what meets under one name grows with the blocks, not with the
+documents.
+
+Packed rows carry ``kind``: a span that is already decided rides along unchanged, and so
+do the regions that a block keeps.
 """
 
 from __future__ import annotations
@@ -25,7 +33,8 @@ from pyspark.sql import DataFrame
 from .blocks import bucket_of, entries_per_row, numbers, pack, unpack
 from .shipping import map_cogroups, map_groups
 
-DECIDED, OPEN = 0, 1
+DECIDED, OPEN, CROWDED, NAMED = range(4)
+MOST_CLASSES = 32
 
 # origin: block of the document; row: its place in the block; first, last: window starts.
 FIELDS = {
@@ -92,42 +101,69 @@ def to_blocks(sent: DataFrame) -> DataFrame:
     return sent.withColumnRenamed("bucket", "block")
 
 
-def find_spans(blocks: DataFrame, buckets: int, regions, decide, extract, compare) -> DataFrame:
-    """(block, ..., row, first, last): packed window starts to mark in every document.
+def in_many_classes(name: np.ndarray, content: np.ndarray) -> np.ndarray:
+    """Whether an entry's name has more than ``MOST_CLASSES`` classes."""
+    order, new_class, new_name = classes(name, content, [])
+    of_name = np.cumsum(new_name) - 1
+    many = np.empty(len(name), bool)
+    many[order] = (np.bincount(of_name[new_class]) > MOST_CLASSES)[of_name]
+    return many
 
-    ``regions(block, table)`` -> (decided, open) entries of a block;
-    ``decide(entries)`` -> (decided, open) entries of a bucket, open ones by block;
-    ``extract(block, table, entries)`` -> packed rows for ``compare``, sent by bucket;
-    ``compare(table)`` -> decided entries.
-    """
+
+def steps(buckets: int, regions, decide, extract, compare):
+    """What is done to blocks, buckets, blocks and buckets again; see ``find_spans``."""
+
+    def own(block: int, entries) -> np.ndarray:
+        return np.full(len(entries["row"]), block % buckets, np.int32)
 
     def first(key, table):
         block = key[0].as_py()
         decided, open_ = regions(block, table)
-        own = np.full(len(decided["row"]), block % buckets, np.int32)
-        return pa.concat_tables(
-            [send(DECIDED, block, own, decided), send(OPEN, block, bucket_of(open_["name"], buckets), open_)]
-        )
+        tables = [send(DECIDED, block, own(block, decided), decided)]
+        if len(open_["row"]):
+            many = in_many_classes(open_["name"], open_["content"])
+            few, names = select(open_, ~many), np.unique(open_["name"][many])
+            kept = {name: open_[name][many] for name in ("doc_key", "row", "first", "last") if name in open_}
+            tables.append(send(OPEN, block, bucket_of(few["name"], buckets), few))
+            tables.append(send(NAMED, block, bucket_of(names, buckets), {"name": names}))
+            tables.append(send(CROWDED, block, own(block, kept), kept))
+        return pa.concat_tables(tables)
 
     def second(table):
-        decided, open_ = decide(received(table, OPEN))
-        before = received(table, DECIDED)
-        return pa.concat_tables([answer(DECIDED, before), answer(DECIDED, decided), answer(OPEN, open_)])
+        named = table.filter(pa.array(numbers(table["kind"]) == NAMED))
+        decided, open_, crowded = decide(received(table, OPEN), np.unique(unpack(named["name"], np.uint64)))
+        tables = [answer(DECIDED, decided), answer(OPEN, open_), answer(CROWDED, crowded)]
+        return pa.concat_tables(tables + [answer(kind, received(table, kind)) for kind in (DECIDED, CROWDED)])
 
     def third(key, texts, answers):
         block = key[0].as_py()
         answers = answers.rename_columns(["bucket", *answers.column_names[1:]])
         before = received(answers, DECIDED)
         before.pop("origin"), before.pop("body")
-        tables = [send(DECIDED, block, np.full(len(before["row"]), block % buckets, np.int32), before)]
-        open_ = received(answers, OPEN)
-        if len(open_["row"]):
-            tables += extract(block, texts, open_)
+        tables = [send(DECIDED, block, own(block, before), before)]
+        open_, crowded = received(answers, OPEN), received(answers, CROWDED)
+        if len(open_["row"]) or len(crowded["row"]):
+            decided, sent = extract(block, texts, open_, crowded)
+            tables += [send(DECIDED, block, own(block, decided), decided), *sent]
         return pa.concat_tables(tables)
 
     def fourth(table):
         return pa.concat_tables([answer(DECIDED, received(table, DECIDED)), answer(DECIDED, compare(table))])
 
+    return first, second, third, fourth
+
+
+def find_spans(blocks: DataFrame, buckets: int, regions, decide, extract, compare) -> DataFrame:
+    """(block, ..., row, first, last): packed window starts to mark in every document.
+
+    ``regions(block, table)`` -> (decided, open) entries of a block;
+    ``decide(entries, crowded names)`` -> (decided, open, crowded) entries of a bucket, the
+    latter two by block;
+    ``extract(block, table, open, crowded)`` -> decided entries, and packed rows for
+    ``compare``, sent by bucket;
+    ``compare(table)`` -> decided entries.
+    """
+    first, second, third, fourth = steps(buckets, regions, decide, extract, compare)
     sent = map_groups(blocks, ["block"], first, SENT)
     answered = to_blocks(map_groups(sent, ["bucket"], second, SENT))
     compared = map_cogroups(blocks, answered, ["block"], third, SENT)

@@ -4,7 +4,8 @@ Equal windows have to meet in one shard. A window's anchor is the stretch of
 ``GRAM`` bytes in it with the smallest name; regions of successive windows with one
 anchor go to the shard of that name. Regions that are equal as a whole are counted and
 need no sorting. Where regions with one anchor differ, one of each kind goes into the
-shard's array. Suffixes are classified as smaller or larger than their right neighbour,
+shard's array, unless they are more than an array holds (``SHARD_BYTES``): those windows
+go to the shard of their own name instead, once per block, and are counted there. Suffixes are classified as smaller or larger than their right neighbour,
 the leftmost-smaller ones are sorted by their substrings, their names are sorted
 recursively, and the order of all others is induced bucket by bucket, each bucket as
 one vector. Common prefixes are computed in text order (permuted), capped at the window:
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 
 from .blocks import bucket_of, covered, in_order, joined_bytes, keys_and_kept, ranges, text_blocks
 from .hashing import BYTE_NAMES, Stretches, combine, mix
-from .repeats import OPEN, SENT_ARROW, classes, find_spans, grouped_windows, marked_starts, received, select
+from .repeats import CROWDED, OPEN, SENT_ARROW, classes, find_spans, grouped_windows, marked_starts, received, select, send
 from .shipping import map_cogroups
 from .tables import with_fields
 
@@ -260,41 +261,92 @@ def _regions(window: int, gram: int):
     return regions
 
 
-def _decide(entries):
-    if not len(entries["row"]):
-        return {**entries}, {**entries}
-    order, new_class, new_name = classes(entries["name"], entries["content"], [])
-    head = np.flatnonzero(new_class)
-    of_class = np.cumsum(new_class) - 1
-    copies = np.add.reduceat(entries["copies"][order], head)
-    repeated = order[copies[of_class] > 1]
-    of_name = np.cumsum(new_name) - 1
-    several = np.bincount(of_name[head])[of_name] > 1
-    open_ = order[new_class & several]
-    decided = {k: entries[k][repeated] for k in ("row", "first", "last", "origin")}
-    return decided, {k: entries[k][open_] for k in ("name", "row", "first", "last", "origin")}
+def _decide(window: int):
+    def decide(entries, crowded_names):
+        if not len(entries["row"]):
+            return {**entries}, {**entries}, {**entries}
+        order, new_class, new_name = classes(entries["name"], entries["content"], [])
+        head = np.flatnonzero(new_class)
+        of_class = np.cumsum(new_class) - 1
+        copies = np.add.reduceat(entries["copies"][order], head)
+        repeated = order[copies[of_class] > 1]
+        of_name, one = (np.cumsum(new_name) - 1)[head], order[head]
+        sizes = entries["last"][one].astype(np.int64) - entries["first"][one] + window
+        several = np.bincount(of_name)[of_name] > 1
+        too_many = several & (np.bincount(of_name, sizes)[of_name] > SHARD_BYTES)
+        crowded = too_many | np.isin(entries["name"][one], crowded_names)
+        open_ = one[several & ~crowded]
+        decided = {k: entries[k][repeated] for k in ("row", "first", "last", "origin")}
+        places = {k: entries[k][one[crowded]] for k in ("row", "first", "last", "origin")}
+        return decided, {k: entries[k][open_] for k in ("name", "row", "first", "last", "origin")}, places
+
+    return decide
+
+
+def _window_names(t: Texts, low: np.ndarray, counts: np.ndarray, window: int) -> np.ndarray:
+    """Names of ``counts`` successive windows from each position ``low`` on."""
+    sizes = counts + window - 1
+    so_far, names, at = np.cumsum(sizes), [np.zeros(0, np.uint64)], 0
+    while at < len(low):
+        done = so_far[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(so_far, done + SLICE_BYTES, side="right")))
+        body = b"".join([t.data[a : a + n] for a, n in zip(low[at:end].tolist(), sizes[at:end].tolist())])
+        starts = ranges(so_far[at:end] - sizes[at:end] - done, counts[at:end])
+        names.append(Stretches(BYTE_NAMES[np.frombuffer(body, np.uint8)]).names(starts, starts + window))
+        at = end
+    return np.concatenate(names)
+
+
+def _counted_windows(t: Texts, entries, window: int):
+    """Of the windows of crowded regions, the repeated ones as spans, and one of each name."""
+    first = entries["first"].astype(np.int64)
+    counts = entries["last"] - first + 1
+    name = _window_names(t, t.start[entries["row"]] + first, counts, window)
+    row, start = np.repeat(entries["row"], counts), ranges(first, counts).astype(np.int32)
+    order = np.argsort(name, kind="stable")
+    new = np.ones(len(order), bool)
+    new[1:] = name[order][1:] != name[order][:-1]
+    of_name = np.cumsum(new) - 1
+    one, again = order[new], np.sort(order[np.bincount(of_name)[of_name] > 1])
+    a, b = grouped_windows(row[again], row[again], start[again])
+    decided = {"row": row[again[a]], "first": start[again[a]], "last": start[again[b]]}
+    return decided, {"name": name[one], "row": row[one], "first": start[one]}
 
 
 def _extract(window: int, buckets: int):
-    def extract(block, table, entries):
+    def extract(block, table, entries, crowded):
         t = Texts(table)
         to = bucket_of(entries["name"], buckets)
         order = np.argsort(to, kind="stable")
         low = t.start[entries["row"]] + entries["first"]
         high = t.start[entries["row"]] + entries["last"] + window
         rows = []
-        for some in np.split(order, np.flatnonzero(np.diff(to[order])) + 1):
+        for some in np.split(order, np.flatnonzero(np.diff(to[order])) + 1) if len(order) else []:
             body = b"".join([t.data[a:b] for a, b in zip(low[some].tolist(), high[some].tolist())])
             packed = {k: entries[k][some].tobytes() for k in ("name", "row", "first", "last")}
             rows.append({"bucket": int(to[some[0]]), "kind": OPEN, "origin": block, "body": body, **packed})
         empty = {name: b"" for name in SENT_ARROW.names}
-        return [pa.Table.from_pylist([empty | row for row in rows], SENT_ARROW)]
+        decided, windows = _counted_windows(t, crowded, window)
+        counted = send(CROWDED, block, bucket_of(windows["name"], buckets), windows)
+        return decided, [pa.Table.from_pylist([empty | row for row in rows], SENT_ARROW), counted]
 
     return extract
 
 
+def _sent_by_several(entries) -> np.ndarray:
+    """Which windows came from more than one block."""
+    order = np.argsort(entries["name"], kind="stable")
+    name = entries["name"][order]
+    like_next = name[1:] == name[:-1]
+    return order[np.r_[like_next, False] | np.r_[False, like_next]] if len(order) else order
+
+
 def _compare(window: int):
     def compare(table):
+        counted = received(table, CROWDED)
+        of = _sent_by_several(counted)
+        several = {k: counted[k][of] for k in ("row", "first", "origin")}
+        several["last"] = several["first"]
         entries = received(table, OPEN)
         counts = entries["last"].astype(np.int64) - entries["first"] + 1
         sizes = counts + window - 1
@@ -318,7 +370,8 @@ def _compare(window: int):
             marked.append((of, start))
         of, start = (np.concatenate(part) for part in zip(*marked))
         start = start.astype(np.int32)
-        return {"row": entries["row"][of], "first": start, "last": start, "origin": entries["origin"][of]}
+        found = {"row": entries["row"][of], "first": start, "last": start, "origin": entries["origin"][of]}
+        return {k: np.concatenate([found[k], several[k]]) for k in found}
 
     return compare
 
@@ -339,7 +392,7 @@ def remove_repeats(
     blocks, buckets = text_blocks(docs, text, key, keep)
     gram = min(gram, window)
     spans = find_spans(
-        blocks, buckets, _regions(window, gram), _decide, _extract(window, buckets), _compare(window)
+        blocks, buckets, _regions(window, gram), _decide(window), _extract(window, buckets), _compare(window)
     )
     others = [name for name in docs.columns if name in keep and name != key]
     schema = with_fields(

@@ -6,9 +6,10 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from sparksales.llm import recompression, suffix_array
+from sparksales.llm import recompression, repeats, suffix_array
 
 from .cases import odd_documents, odd_texts, words_of
 
@@ -120,3 +121,62 @@ def test_empty_tables(spark):
     docs = odd_documents(spark, [(1, "a")]).limit(0)
     assert recompression.remove_repeats(docs).count() == 0
     assert suffix_array.remove_repeats(docs).count() == 0
+
+
+def dealt(rows, blocks):
+    """{block: table} of (id, text) rows as ``text_blocks`` deals them."""
+    fields = ("doc_key", "row_hash", "text")
+    return {n: pa.table(dict(zip(fields, zip(*[(k, k, t) for k, t in rows[n::blocks]])))) for n in range(blocks)}
+
+
+def exchange(tables, step):
+    """What ``step`` makes of packed rows, by the value of their first column."""
+    joined = pa.concat_tables(tables)
+    to = joined["bucket"].to_numpy()
+    made = {}
+    for value in np.unique(to).tolist():
+        part = joined.filter(pa.array(to == value))
+        made[value] = step(value, part)
+    return made
+
+
+def spans_by_steps(texts, steps, seen):
+    """{block: (row, first, last)} without Spark; ``seen`` gets the packed rows of each exchange."""
+    first, second, third, fourth = steps
+    sent = [first((pa.scalar(block),), table) for block, table in texts.items()]
+    answered = exchange(sent, lambda _, part: second(part))
+    compared = exchange(list(answered.values()), lambda block, part: third((pa.scalar(block),), texts[block], part))
+    back = exchange(list(compared.values()), lambda _, part: fourth(part))
+    seen += [pa.concat_tables(sent), pa.concat_tables(list(compared.values()))]
+    return exchange(list(back.values()), lambda _, part: repeats.marked_starts(part))
+
+
+def most_under_one_name(packed, kinds):
+    names = Counter()
+    for kind in kinds:
+        names.update(repeats.received(packed, kind)["name"].tolist())
+    return max(names.values(), default=0)
+
+
+def test_bytes_of_one_passage_in_many_surroundings(monkeypatch):
+    """Regions at the edges of a passage all differ; neither an array nor a name gets them all."""
+    rng, letters = random.Random(8), "abcdefghijklmnopqrstuvwxyz "
+    passage = "".join(rng.choices(letters, k=600))
+    rows = [(i, "".join(rng.choices(letters, k=300)) + passage + "".join(rng.choices(letters, k=300))) for i in range(600)]
+    monkeypatch.setattr(suffix_array, "SHARD_BYTES", 1 << 14)
+    arrays, shared_starts = [], suffix_array.shared_starts
+    monkeypatch.setattr(suffix_array, "shared_starts", lambda data, *rest: arrays.append(len(data)) or shared_starts(data, *rest))
+    for blocks in (3, 60):
+        texts, seen, arrays[:] = dealt(rows, blocks), [], []
+        parts = suffix_array._regions(200, 64), suffix_array._decide(200), suffix_array._extract(200, 4), suffix_array._compare(200)
+        found = spans_by_steps(texts, repeats.steps(4, *parts), seen)
+        got = []
+        for block, table in texts.items():
+            gone = {n: set() for n in range(table.num_rows)}
+            for row, first, last in zip(*found[block]):
+                gone[row] |= set(range(first, last + 200))
+            got += [(k, len(gone[n])) for n, k in enumerate(table["doc_key"].to_pylist())]
+        assert sorted(got) == sorted((k, removed) for k, _, removed, _, _ in repeated_bytes(rows, 200))
+        assert max(arrays, default=0) <= 1 << 14
+        assert most_under_one_name(seen[0], [repeats.OPEN]) <= repeats.MOST_CLASSES * blocks
+        assert most_under_one_name(seen[1], [repeats.CROWDED]) <= blocks
