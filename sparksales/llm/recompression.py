@@ -225,7 +225,14 @@ def _extract(window: int, buckets: int):
             "first": start.astype(np.int32),
             "last": start.astype(np.int32),
         }
-        return {"row": row[:0]}, [send(OPEN, block, bucket_of(name, buckets), windows)]
+        if not len(row):
+            return windows, []
+        # What stands earlier in the block itself need not travel to be found out.
+        windows["content"] = np.zeros(len(row), np.uint64)
+        later, earliest, _ = _later_ones(windows)
+        windows.pop("content")
+        decided = {key: windows[key][later] for key in ("row", "first", "last")}
+        return decided, [send(OPEN, block, bucket_of(name[earliest], buckets), select(windows, earliest))]
 
     return extract
 

@@ -11,7 +11,7 @@ import pytest
 
 from sparksales.llm import recompression, repeats, suffix_array
 
-from .cases import odd_documents, odd_texts, words_of
+from .cases import odd_documents, odd_texts, sentence, words_of
 
 
 def repeated_words(rows, window):
@@ -151,11 +151,8 @@ def spans_by_steps(texts, steps, seen):
     return exchange(list(back.values()), lambda _, part: repeats.marked_starts(part))
 
 
-def most_under_one_name(packed, kinds):
-    names = Counter()
-    for kind in kinds:
-        names.update(repeats.received(packed, kind)["name"].tolist())
-    return max(names.values(), default=0)
+def most_under_one_name(packed, kind):
+    return max(Counter(repeats.received(packed, kind)["name"].tolist()).values(), default=0)
 
 
 def test_bytes_of_one_passage_in_many_surroundings(monkeypatch):
@@ -178,5 +175,25 @@ def test_bytes_of_one_passage_in_many_surroundings(monkeypatch):
             got += [(k, len(gone[n])) for n, k in enumerate(table["doc_key"].to_pylist())]
         assert sorted(got) == sorted((k, removed) for k, _, removed, _, _ in repeated_bytes(rows, 200))
         assert max(arrays, default=0) <= 1 << 14
-        assert most_under_one_name(seen[0], [repeats.OPEN]) <= repeats.MOST_CLASSES * blocks
-        assert most_under_one_name(seen[1], [repeats.CROWDED]) <= blocks
+        assert most_under_one_name(seen[0], repeats.OPEN) <= repeats.MOST_CLASSES * blocks
+        assert most_under_one_name(seen[1], repeats.CROWDED) <= blocks
+
+
+def test_words_of_one_passage_in_many_surroundings():
+    """What arrives under one name, of a region or a window, grows with the blocks only."""
+    rng = random.Random(9)
+    passage = sentence(rng, 60, 10**6)
+    rows = [(i, f"{sentence(rng, 30, 10**6)} {passage} {sentence(rng, 30, 10**6)}") for i in range(600)]
+    blocks, seen = 3, []
+    texts = dealt(rows, blocks)
+    parts = recompression._regions(20, 2), recompression._decide, recompression._extract(20, 4), recompression._compare
+    found = spans_by_steps(texts, repeats.steps(4, *parts), seen)
+    got = []
+    for block, table in texts.items():
+        gone = {n: set() for n in range(table.num_rows)}
+        for row, first, last in zip(*found[block]):
+            gone[row] |= set(range(first, last + 20))
+        got += [(k, len(gone[n])) for n, k in enumerate(table["doc_key"].to_pylist())]
+    assert sorted(got) == sorted((k, removed) for k, _, removed, _ in repeated_words(rows, 20))
+    assert most_under_one_name(seen[0], repeats.OPEN) <= repeats.MOST_CLASSES * blocks
+    assert most_under_one_name(seen[1], repeats.OPEN) <= blocks
