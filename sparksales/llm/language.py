@@ -10,7 +10,8 @@ code for the whole text wins.
 Trees of all languages share their contexts, so scoring is one table look-up per byte:
 the context's node from its last three bytes, then the cost of the byte for every
 language at once. The tables are small by construction (``max_contexts`` nodes of the
-deepest order, at most 257 byte classes).
+deepest order, at most 257 byte classes). Beyond that, contexts stay by their largest share
+of any one language, so a small language keeps its own.
 
 Learning takes at most about ``fit_documents`` whole documents a language, chosen by a
 hash. Defined results: ``und`` with score 0 if the text is null or has no letter, or if
@@ -32,8 +33,9 @@ from .tables import with_fields
 
 ORDER = 3
 FIT_DOCUMENTS = 3000
-MAX_CONTEXTS = 8192
+MAX_CONTEXTS = 16384
 SLICE_BYTES = 1 << 20
+SLICE_CONTEXTS = 512
 
 
 def _gram_counts(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -122,47 +124,48 @@ def build_model(rows: pa.Table, max_contexts: int = MAX_CONTEXTS) -> LanguageMod
 
     node_of = np.zeros((classes,) * ORDER, np.int32)  # oldest byte first
     ids: dict[tuple[int, int], int] = {(0, 0): 0}
-    levels = []
-    previous = None
+    known = [len(np.unique(grams[:, 0].astype(np.int64) >> 8)) for grams in by_length.values()]
+    chances = np.zeros((sum(min(n, max_contexts) for n in known), classes, len(languages)), np.float32)
     for length in range(1, ORDER + 2):
         grams = by_length[length].astype(np.int64)
         context, symbol = grams[:, 0] >> 8, byte_class[grams[:, 0] & 255]
         every, at = np.unique(context, return_inverse=True)
         if len(every) > max_contexts:
-            weight = np.bincount(at, grams[:, 2])
+            own = np.zeros((len(every), len(languages)))
+            np.add.at(own, (at, grams[:, 1]), grams[:, 2])
+            weight = (own / np.maximum(own.sum(axis=0), 1)).max(axis=1)
             kept = np.sort(np.lexsort((every, -weight))[:max_contexts])
             place = np.full(len(every), -1)
             place[kept] = np.arange(len(kept))
             every, at, mine = every[kept], place[at], place[at] >= 0
             at, symbol, grams = at[mine], symbol[mine], grams[mine]
-        counts = np.zeros((len(every), classes, len(languages)), np.float32)
-        counts[at, symbol, grams[:, 1]] = grams[:, 2]
-        total, different = (x.sum(axis=1, keepdims=True, dtype=np.float32) for x in (counts, counts > 0))
         base = len(ids) if length > 1 else 0
-        if length == 1:
-            shorter = np.full((1, classes, len(languages)), 1 / 256, np.float32)
-        else:
+        chances[base + at, symbol, grams[:, 1]] = grams[:, 2]
+        parents = []
+        if length > 1:
             # The next shorter context may have been cut off by max_contexts; then one shorter still.
-            parents = []
             for key in every.tolist():
                 size = length - 2
                 while (size, key & ((1 << 8 * size) - 1)) not in ids:
                     size -= 1
                 parents.append(ids[size, key & ((1 << 8 * size) - 1)])
-            shorter = previous[parents]
             for i, key in enumerate(every.tolist()):
                 ids[length - 1, key] = base + i
                 path = [byte_class[key >> 8 * j & 255] for j in range(length - 2, -1, -1)]
                 node_of[(Ellipsis, *path)] = base + i
-        with np.errstate(divide="ignore", invalid="ignore"):
-            escape = np.where(total > 0, different / (total + different), np.float32(1))
+        # In place and slice by slice: the table is the largest thing the driver holds.
+        for low in range(0, len(every), SLICE_CONTEXTS):
+            high = min(low + SLICE_CONTEXTS, len(every))
+            counts = chances[base + low : base + high]
+            shorter = chances[parents[low:high]] if parents else np.float32(1 / 256)
+            total, different = (x.sum(axis=1, keepdims=True, dtype=np.float32) for x in (counts, counts > 0))
             unseen = counts == 0
-            chance = np.divide(counts, total + different, out=counts)
-        np.multiply(escape, shorter, out=chance, where=unseen)
-        levels.append(-np.log2(chance))
-        previous = chance if previous is None else np.concatenate([previous, chance])
-    bits = np.concatenate(levels).reshape(-1, len(languages))
-    return LanguageModel(languages, byte_class, node_of.ravel(), bits)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                escape = np.where(total > 0, different / (total + different), np.float32(1))
+                np.divide(counts, total + different, out=counts)
+            np.multiply(escape, shorter, out=counts, where=unseen)
+    np.negative(np.log2(chances, out=chances), out=chances)
+    return LanguageModel(languages, byte_class, node_of.ravel(), chances.reshape(-1, len(languages)))
 
 
 def learn(
@@ -187,7 +190,10 @@ def learn(
     # One row for each byte stretch of the bounded sample; contexts beyond the limit never leave the executors.
     deepest = grams.where(F.col("length") == ORDER + 1)
     context = F.shiftright("key", 8)
-    kept = deepest.groupBy(context.alias("context")).agg(F.sum("n").alias("weight"))
+    own = deepest.groupBy("lang", context.alias("context")).agg(F.sum("n").alias("n"))
+    totals = own.groupBy("lang").agg(F.sum("n").alias("total"))
+    shares = own.join(F.broadcast(totals), "lang").select("context", (F.col("n") / F.col("total")).alias("share"))
+    kept = shares.groupBy("context").agg(F.max("share").alias("weight"))
     kept = kept.orderBy(F.desc("weight"), "context").limit(max_contexts).select("context")
     deepest = deepest.join(F.broadcast(kept), context == F.col("context"), "left_semi")
     rows = grams.where(F.col("length") <= ORDER).unionByName(deepest)

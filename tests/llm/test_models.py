@@ -154,3 +154,12 @@ def test_texts_in_random_blocks_have_their_own_counts(spark):
     rows = [(i % 9, " ".join(rng.choice("abcd") for _ in range(rng.randrange(12)))) for i in range(50)]
     got = [(r.doc_id, r.n_words, None if r.log_score is None else round(r.log_score, 6)) for r in backoff.scores(odd_documents(spark, rows)).collect()]
     assert sorted(map(repr, got)) == sorted(map(repr, backoff_scores(rows, 2, 0.4, 0.5)))
+
+
+def test_a_small_language_keeps_its_contexts(spark):
+    rng = random.Random(4)
+    docs = [("large", "".join(rng.choices("abcdefgh", k=400))) for _ in range(50)] + [("small", "xyz" * 20)]
+    docs = spark.createDataFrame(docs, "lang string, text string")
+    texts = [b"xyz" * 5, b"zxyzxy"]
+    whole, capped = (language.learn(docs, where=F.lit(True), max_contexts=n).code_lengths(texts) for n in (1000, 8))
+    assert capped[:, 1].tolist() == whole[:, 1].tolist()
