@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..operators.staging import new_folder
 from . import (
     backoff,
     byte_bpe,
@@ -18,10 +19,12 @@ from . import (
     similarity_search,
     simhash,
     suffix_array,
+    token_files,
 )
 from .tables import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def remainder(modulus: int, key: str = "doc_id") -> Column:
@@ -130,6 +133,12 @@ def contaminated(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def written_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    files = new_folder(spark)
+    token_files.write_tokens(table(spark, folder, "documents"), files, public_tokenizers.path(TOKENIZER), end_id=2)
+    return token_files.read_tokens(spark, files, with_ids=False).withColumnRenamed("doc_key", "doc_id")
+
+
 CONTAMINATED_SQL = r"""
 WITH said AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
@@ -223,6 +232,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_benchmark_decontamination": contaminated,
         "op9_suffix_array_dedup": without_repeated_bytes,
         "op10_nearest_neighbours": neighbours,
+        "op13_token_files": written_tokens,
     }
 
 
