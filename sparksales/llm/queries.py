@@ -15,6 +15,7 @@ from . import (
     language,
     phrase_index,
     quality,
+    ranked_search,
     recompression,
     similarity_search,
     simhash,
@@ -133,6 +134,36 @@ def contaminated(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def ranked(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=10)
+
+
+RANKED_SQL = r"""
+WITH said AS (
+  SELECT doc_id, unnest(list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '')) AS term
+  FROM documents),
+asked AS (
+  SELECT DISTINCT item_id, unnest(list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '')) AS term
+  FROM benchmark),
+sizes AS (SELECT doc_id, count(*) AS n FROM said GROUP BY doc_id),
+totals AS (SELECT count(*) AS all_docs, sum(n)::BIGINT AS all_terms FROM sizes),
+norms AS (SELECT doc_id, 100 - 90 + (90 * n * all_docs) // all_terms AS m FROM sizes, totals),
+postings AS (SELECT doc_id, term, count(*) AS tf FROM said WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * all_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), totals),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN norms USING (doc_id) GROUP BY ALL),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
 def written_tokens(spark: SparkSession, folder: str) -> DataFrame:
     files = new_folder(spark)
     token_files.write_tokens(table(spark, folder, "documents"), files, public_tokenizers.path(TOKENIZER), end_id=2)
@@ -232,6 +263,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_benchmark_decontamination": contaminated,
         "op9_suffix_array_dedup": without_repeated_bytes,
         "op10_nearest_neighbours": neighbours,
+        "op11_ranked_search": ranked,
         "op13_token_files": written_tokens,
     }
 
@@ -243,4 +275,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_chat_formatting": CHATS_SQL,
         "op8_benchmark_decontamination": CONTAMINATED_SQL,
         "op10_nearest_neighbours": NEIGHBOURS_SQL,
+        "op11_ranked_search": RANKED_SQL,
     }
