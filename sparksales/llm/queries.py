@@ -11,6 +11,7 @@ from ..operators.staging import new_folder
 from . import (
     backoff,
     byte_bpe,
+    collocations,
     conversations,
     language,
     phrase_index,
@@ -164,6 +165,38 @@ SELECT * FROM ranked WHERE rank <= 10
 """
 
 
+def phrases_by_language(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"), least=100, most_words=5, first=2000)
+
+
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+said AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces),
+sizes AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM said GROUP BY lang),
+frequent AS (
+  SELECT lang, size, array_to_string(ws[s : s + size - 1], ' ') AS phrase, count(*) AS f
+  FROM said, range(1, 6) AS a(size), range(1, len(ws) - size + 2) AS b(s) GROUP BY ALL HAVING count(*) >= 100),
+spelled AS (SELECT lang, size, phrase, f, string_split(phrase, ' ') AS ws FROM frequent),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, k, x.f AS l, y.f AS r, n,
+    ((1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM spelled c JOIN sizes USING (lang), range(1, size) AS cut(k)
+  JOIN frequent x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1 : k], ' ')
+  JOIN frequent y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[k + 1 :], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_phrases AS (
+  SELECT lang, array_to_string(ws[s : s + part - 1], ' ') AS phrase, max(f) AS inside
+  FROM spelled, range(2, size) AS a(part), range(1, size - part + 2) AS b(s) GROUP BY ALL),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM lowest LEFT JOIN inner_phrases USING (lang, phrase) WHERE inside IS NULL OR 100 * inside < 100 * a)
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+
 def written_tokens(spark: SparkSession, folder: str) -> DataFrame:
     files = new_folder(spark)
     token_files.write_tokens(table(spark, folder, "documents"), files, public_tokenizers.path(TOKENIZER), end_id=2)
@@ -264,6 +297,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_suffix_array_dedup": without_repeated_bytes,
         "op10_nearest_neighbours": neighbours,
         "op11_ranked_search": ranked,
+        "op12_collocations": phrases_by_language,
         "op13_token_files": written_tokens,
     }
 
@@ -276,4 +310,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_benchmark_decontamination": CONTAMINATED_SQL,
         "op10_nearest_neighbours": NEIGHBOURS_SQL,
         "op11_ranked_search": RANKED_SQL,
+        "op12_collocations": COLLOCATIONS_SQL,
     }
