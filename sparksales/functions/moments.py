@@ -1,109 +1,60 @@
 """Additive count / sum / sum-of-squares of money amounts that do not depend on task order.
 
 Variance decides ties between sizes, so it must not change with the order in which tasks
-add doubles. Amounts with up to four decimals and below 900 billion are whole numbers of
-ten-thousandths, at most 53 bits long, and are summed exactly.
-
-A bigint sum of squares would overflow and a decimal sum allocates per row. So a number is
-cut at bit 27 into a low and a high part, and the number itself and the three products
-low*low, low*high, high*high are summed in pieces of 20 bits. Each piece's bigint sum is safe
-for 2^43 rows per group. The numerator of the variance, n * sum(u^2) - sum(u)^2, is put
-together in three limbs of 54 bits whose carries are settled before anything becomes a
-double, so nothing cancels in floating point, whatever the size of the group.
-
-Other amounts (more decimals, larger, NaN, infinity) are kept apart as count, mean and
-sum of squared distances from the mean, from the built-in aggregates, and merged by
-M2 = M2_a + M2_b + (mean_a - mean_b)^2 n_a n_b / (n_a + n_b). They never take a square of a
-mean off a mean of squares. Only where several partial results meet do their last digits
-depend on how rows were split.
-
-``first`` aggregates rows; ``again`` merges the output of ``first`` (or of ``again``), in as
-many steps as the plan likes.
-"""
-
-from __future__ import annotations
-
-from decimal import Decimal
-
-from pyspark.sql import Column, functions as F
-
-_UNITS = 10_000
-_CENTS = 100
-_LARGEST_UNIT = float(1 << 53)
-_PIECE_BITS = 20
-_CUT = 27
-_LIMB = Decimal(1 << (2 * _CUT))
-
+add doubles. Every amount becomes a whole number of 1 / (10,000 * 2^20) before it is
+summed: ten-thousandths, and a binary fraction of one. Amounts with up to four decimals have
+no such fraction and are summed exactly, whatever double stands for them; of others the
+fraction keeps about what a double holds. All sums are of whole numbers, so one result comes
+out of any partitioning.
 
-def _pieces(value: Column) -> list[Column]:
-    """``value`` cut into 20-bit pieces, lowest first; the last keeps the sign."""
-    low = [F.shiftright(value, _PIECE_BITS * i).bitwiseAND((1 << _PIECE_BITS) - 1) for i in range(2)]
-    return [*low, F.shiftright(value, 2 * _PIECE_BITS)]
+The number is cut into four limbs of 20 bits, all of its sign. The sums of the limbs and of their products, by
+weight, are plain bigint columns: 18 of them, hash-aggregated in generated code. Products are
+summed in two pieces, which is safe for 2^40 rows per group.
 
+The variance takes a pivot near the mean off the sums, digit by digit in bigints, before anything
+becomes a double, so nothing cancels in floating point, whatever the size of the group. The result is put
+together from the highest digit down.
 
-def _wide(value: Column) -> Column:
-    return value.cast("decimal(38,0)")
-
-
-def _put_together(names: list[str]) -> Column:
-    total = _wide(F.col(names[0]))
-    for i, name in enumerate(names[1:], start=1):
-        total = _wide(total + _wide(F.col(name) * Decimal(1 << (_PIECE_BITS * i))))
-    return total
-
-
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once, however often the body uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
-def _limbs(a: Column, b: Column, c: Column) -> Column:
-    return F.struct(a.alias("a"), b.alias("b"), c.alias("c"))
+Amounts beyond 14 trillion, NaN and infinity have no such number. They are kept as doubles, by
+count, sum and sum of squares, and join the others' mean and squared distances at the end.
 
+``cut`` prepares rows, ``first`` aggregates them; ``again`` merges the output of ``first`` (or of
+``again``), in as many steps as the plan likes; ``with_variance`` appends the result.
+"""
 
-def _settled(limbs: Column) -> Column:
-    """The same number a + 2^54 b + 2^108 c with a and b between 0 and 2^54."""
-    limb = F.lit(_LIMB).cast("decimal(38,0)")
+from __future__ import annotations
 
-    def carry_a(x):
-        low = F.pmod(x["a"], limb)
-        return _limbs(low, _wide(x["b"] + _wide((x["a"] - low) / limb)), x["c"])
+from decimal import Decimal
 
-    def carry_b(x):
-        low = F.pmod(x["b"], limb)
-        return _limbs(x["a"], low, _wide(x["c"] + _wide((x["b"] - low) / limb)))
+from pyspark.sql import Column, DataFrame, functions as F
 
-    return _let(_let(limbs, carry_a), carry_b)
+_UNITS = 10_000
+_BITS = 20
+_BASE = 1 << _BITS
+_LIMBS = 4
+_WEIGHTS = 2 * _LIMBS - 1
+_LARGEST = float(1 << 57)  # units that fit into three limbs
 
 
-def _as_double(limbs: Column) -> Column:
-    big = float(_LIMB)
-    return limbs["c"].cast("double") * (big * big) + limbs["b"].cast("double") * big + limbs["a"].cast("double")
+def _low(value: Column) -> Column:
+    return value.bitwiseAND(_BASE - 1)
 
 
-def _merged(a: Column, b: Column) -> Column:
-    """Two (n, mean, m2) put together; n = 0 adds nothing."""
-    return _let(F.struct(a.alias("a"), b.alias("b")), lambda both: _merge(both["a"], both["b"]))
+def _high(value: Column) -> Column:
+    return F.shiftright(value, _BITS)
 
 
-def _merge(a: Column, b: Column) -> Column:
-    n = a["n"] + b["n"]
-    apart = b["mean"] - a["mean"]
-    return (
-        F.when(b["n"] == 0, a)
-        .when(a["n"] == 0, b)
-        .otherwise(
-            F.struct(
-                n.alias("n"),
-                (a["mean"] + apart * (b["n"] / n)).alias("mean"),
-                (a["m2"] + b["m2"] + apart * apart * (a["n"] * (b["n"] / n))).alias("m2"),
-            )
-        )
-    )
+def _settled(digits: list[Column]) -> list[Column]:
+    """The same number with what exceeds 20 bits carried one digit up."""
+    return [_low(digits[0]), *[_low(d) + _high(before) for before, d in zip(digits, digits[1:])], _high(digits[-1])]
 
 
-def _part(n: Column, mean: Column, m2: Column) -> Column:
-    return F.struct(n.cast("double").alias("n"), mean.alias("mean"), m2.alias("m2"))
+def _number(digits: list[Column]) -> Column:
+    """A double from digits of up to 50 bits, highest first: exact until it fills its 53 bits."""
+    value = digits[-1].cast("double")
+    for digit in reversed(digits[:-1]):
+        value = value * float(_BASE) + digit.cast("double")
+    return value
 
 
 class Moments:
@@ -111,118 +62,154 @@ class Moments:
 
     def __init__(self, prefix: str = "amount"):
         self.count = f"{prefix}_count"
-        self.units = [f"{prefix}_units_{i}" for i in range(3)]
-        self.low = [f"{prefix}_low_{i}" for i in range(3)]
-        self.cross = [f"{prefix}_cross_{i}" for i in range(3)]
-        self.high = [f"{prefix}_high_{i}" for i in range(3)]
-        self.others = f"{prefix}_others"
-
-    @property
-    def _sums(self) -> list[str]:
-        return [*self.units, *self.low, *self.cross, *self.high]
-
-    @property
-    def columns(self) -> list[str]:
-        return [self.count, *self._sums, self.others]
-
-    def first(self, amount: Column) -> list[Column]:
-        """Aggregates over raw rows; null amounts count nowhere."""
-        rounded = F.rint(amount * _UNITS)
-        exact = (F.abs(rounded) < _LARGEST_UNIT) & (rounded / _UNITS == amount)
-        units = F.when(exact, rounded).otherwise(0.0).cast("bigint")
-        low, high = units.bitwiseAND((1 << _CUT) - 1), F.shiftright(units, _CUT)
-        pieces = [piece for value in (units, low * low, low * high, high * high) for piece in _pieces(value)]
-        other = F.when(~exact, amount)
-        n = F.count(other)
-        of_others = _part(n, F.avg(other), F.var_pop(other) * n)
+        self.limbs = [f"{prefix}_limb_{i}" for i in range(_LIMBS)]
+        self.sums = [f"{prefix}_sum_{i}" for i in range(_LIMBS)]
+        self.low = [f"{prefix}_low_{i}" for i in range(_WEIGHTS)]
+        self.high = [f"{prefix}_high_{i}" for i in range(_WEIGHTS)]
+        self.far = f"{prefix}_far"
+        self.far_count, self.far_sum, self.far_squares = (f"{prefix}_far_{x}" for x in ("count", "sum", "squares"))
+
+    def columns(self, squares: bool = True) -> list[str]:
+        own = [self.count, *self.sums, self.far_count, self.far_sum]
+        return own + [*self.low, *self.high, self.far_squares] if squares else own
+
+    def cut(self, df: DataFrame, amount: Column, *keep: str) -> DataFrame:
+        """``keep`` columns with the limbs of ``amount`` (null for none), as ``first`` needs them."""
+        scaled = amount * float(_UNITS)
+        whole = F.rint(scaled)
+        near = F.abs(whole) < _LARGEST
+        fraction = F.when(whole / float(_UNITS) == amount, 0.0).otherwise(F.rint((scaled - whole) * float(_BASE)))
+        cut = df.select(
+            *keep,
+            F.when(near, fraction).cast("bigint").alias(self.limbs[0]),
+            F.when(near, F.abs(whole)).cast("bigint").alias("_size"),
+            F.when(near, F.signum(whole)).cast("bigint").alias("_sign"),
+            F.when(~near, amount).alias(self.far),
+        )
+        size, sign = F.col("_size"), F.col("_sign")
+        upper = [_low(size), _low(_high(size)), _high(_high(size))]
+        return cut.select(
+            *keep, self.limbs[0], *[(limb * sign).alias(name) for limb, name in zip(upper, self.limbs[1:])], self.far
+        )
+
+    def first(self, squares: bool = True) -> list[Column]:
+        """Aggregates over rows that ``cut`` made; null amounts count nowhere."""
+        limbs = [F.col(name) for name in self.limbs]
+        a, b, c, d = limbs
+        # By weight; those of odd weight are doubled later.
+        products = [a * a, a * b, a * c * 2 + b * b, a * d + b * c, b * d * 2 + c * c, c * d, d * d]
+        far = F.col(self.far)
+        sums = [
+            *[(limb, name) for limb, name in zip(limbs, self.sums)],
+            *([(_low(p), name) for p, name in zip(products, self.low)] if squares else []),
+            *([(_high(p), name) for p, name in zip(products, self.high)] if squares else []),
+        ]
+        zero, nothing = F.lit(0).cast("bigint"), F.lit(0.0)
+        doubles = [(far, self.far_sum), *([(far * far, self.far_squares)] if squares else [])]
         return [
-            F.count(amount).alias(self.count),
-            *[F.sum(piece).alias(name) for name, piece in zip(self._sums, pieces)],
-            F.when(n > 0, F.array(of_others)).otherwise(F.array().cast("array<struct<n:double,mean:double,m2:double>>")).alias(
-                self.others
-            ),
+            (F.count(a) + F.count(far)).alias(self.count),
+            F.count(far).alias(self.far_count),
+            *[F.coalesce(F.sum(value), zero).alias(name) for value, name in sums],
+            *[F.coalesce(F.sum(value), nothing).alias(name) for value, name in doubles],
         ]
 
     def again(self) -> list[Column]:
         """Aggregates that merge the output of ``first`` (or of ``again``)."""
-        # One entry for each partial result that has other amounts; most have none.
-        parts = F.sort_array(F.flatten(F.collect_list(F.when(F.size(self.others) > 0, F.col(self.others)))))
-        nothing = _part(F.lit(0.0), F.lit(0.0), F.lit(0.0))
-        together = F.aggregate(parts, nothing, _merged)
-        merged = F.when(F.size(parts) > 0, F.array(together)).otherwise(parts)
-        return [
-            F.sum(self.count).alias(self.count),
-            *[F.sum(name).alias(name) for name in self._sums],
-            merged.alias(self.others),
-        ]
-
-    def _limbs_of_squares(self) -> Column:
-        """sum(u^2) in settled limbs."""
-        half = F.lit(Decimal(1 << _CUT)).cast("decimal(38,0)")
-        zero = F.lit(Decimal(0)).cast("decimal(38,0)")
-        low, cross, high = (_put_together(names) for names in (self.low, self.cross, self.high))
+        return [F.sum(name).alias(name) for name in self.columns()]
 
-        # 2 * low * high stands at bit 27; half a limb of it goes to each side.
-        def joined(x):
-            rest = F.pmod(x["b"], half)
-            return _limbs(_wide(x["a"] + _wide(rest * half)), _wide(x["c"] + _wide((x["b"] - rest) / half)), zero)
+    def _near_count(self) -> Column:
+        return F.col(self.count) - F.col(self.far_count)
 
-        return _settled(_let(_limbs(low, _wide(cross * 2), high), joined))
-
-    def _other(self) -> Column:
-        return F.coalesce(F.get(self.others, F.lit(0)), _part(F.lit(0.0), F.lit(0.0), F.lit(0.0)))
+    def _near_total(self) -> Column:
+        """Sum of the amounts that have limbs; cents come out as a division of whole numbers."""
+        base, units = F.lit(Decimal(_BASE)).cast("decimal(7,0)"), F.col(self.sums[-1]).cast("decimal(38,0)")
+        for name in self.sums[-2:0:-1]:
+            units = ((units * base).cast("decimal(38,0)") + F.col(name).cast("decimal(20,0)")).cast("decimal(38,0)")
+        whole = (units / F.lit(Decimal(_UNITS // 100)).cast("decimal(3,0)")).cast("double") / 100.0
+        return whole + F.col(self.sums[0]).cast("double") / float(_BASE) / float(_UNITS)
 
     def total(self) -> Column:
-        cents = (_put_together(self.units) / F.lit(Decimal(_CENTS))).cast("double")
-        other = self._other()
-        return F.when(F.size(self.others) == 0, cents / _CENTS).otherwise(cents / _CENTS + other["n"] * other["mean"])
-
-    def total_squared(self) -> Column:
-        def as_number(x):
-            small = _wide(x["a"] + _wide(x["b"] * F.lit(_LIMB)))  # as long as 38 digits hold it
-            return F.when(x["c"] == 0, (small / F.lit(Decimal(_UNITS))).cast("double") / _UNITS).otherwise(
-                _as_double(x) / _UNITS**2
-            )
-
-        squares, other = _let(self._limbs_of_squares(), as_number), self._other()
-        return F.when(F.size(self.others) == 0, squares).otherwise(
-            squares + other["m2"] + other["n"] * other["mean"] * other["mean"]
-        )
-
-    def _exact_part(self) -> Column:
-        """(n, mean, m2) of the amounts that were summed exactly."""
-        limb = F.lit(_LIMB).cast("decimal(38,0)")
-        n = _wide(F.col(self.count) - self._other()["n"].cast("bigint"))
-
-        def cut(x):
-            low = F.pmod(x["u"], limb)
-            return F.struct(
-                x["n"].alias("n"), x["u"].alias("u"), x["q"].alias("q"),
-                low.alias("low"), _wide((x["u"] - low) / limb).alias("high"),
-            )
-
-        def spread(x):
-            numerator = _limbs(
-                _wide(_wide(x["n"] * x["q"]["a"]) - _wide(x["low"] * x["low"])),
-                _wide(_wide(x["n"] * x["q"]["b"]) - _wide(_wide(x["low"] * x["high"]) * 2)),
-                _wide(_wide(x["n"] * x["q"]["c"]) - _wide(x["high"] * x["high"])),
-            )
-            count = x["n"].cast("double")
-            mean = (x["u"] / F.lit(Decimal(_CENTS))).cast("double") / count / _CENTS
-            m2 = _let(_settled(numerator), _as_double) / count / _UNITS**2
-            return F.when(x["n"] > 0, _part(count, mean, m2)).otherwise(_part(F.lit(0.0), F.lit(0.0), F.lit(0.0)))
-
-        sums = F.struct(n.alias("n"), _put_together(self.units).alias("u"), self._limbs_of_squares().alias("q"))
-        return _let(_let(sums, cut), spread)
+        return F.when(F.col(self.far_count) == 0, self._near_total()).otherwise(self._near_total() + F.col(self.far_sum))
 
     def mean(self) -> Column:
         """Mean amount, null without amounts."""
-        return F.when(F.col(self.count) > 0, _merged(self._exact_part(), self._other())["mean"])
-
-    def variance(self) -> Column:
-        """Population variance, null without amounts, never negative."""
-        together = _merged(self._exact_part(), self._other())
-        return F.when(F.col(self.count) > 0, together["m2"] / F.col(self.count).cast("double"))
+        return F.when(F.col(self.count) > 0, self.total() / F.col(self.count).cast("double"))
 
-    def deviation(self) -> Column:
-        return F.sqrt(self.variance())
+    def total_squared(self) -> Column:
+        wide = "decimal(38,0)"
+        digits = []
+        for i, name in enumerate(self.low):
+            before = F.col(self.high[i - 1]).cast("decimal(25,0)") * (1 if i % 2 else 2) if i else F.lit(Decimal(0))
+            digits.append((F.col(name).cast("decimal(25,0)") * (2 if i % 2 else 1) + before).cast(wide))
+        digits.append(F.col(self.high[-1]).cast(wide))
+        # Without fractions the two lowest weights are nothing; then 38 digits hold the rest of ordinary sums exactly.
+        small = digits[5].cast(wide)
+        base = F.lit(Decimal(_BASE)).cast("decimal(7,0)")
+        for digit in (digits[4], digits[3], digits[2]):
+            small = ((small * base).cast(wide) + digit).cast(wide)
+        ordinary = (F.col(self.sums[0]) == 0) & (digits[0] == 0) & (digits[6] == 0) & (digits[7] == 0) & (F.abs(digits[5]) < F.lit(Decimal(10**19)))
+        exact = (small / F.lit(Decimal(_UNITS)).cast("decimal(5,0)")).cast("double") / float(_UNITS)
+        near = F.when(ordinary, exact).otherwise(_number(digits) / float(_BASE) ** 2 / float(_UNITS) ** 2)
+        return F.when(F.col(self.far_count) == 0, near).otherwise(near + F.col(self.far_squares))
+
+    def with_variance(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` with the population variance: null without amounts, never negative."""
+        keep, zero = [F.col(column) for column in df.columns], F.lit(0).cast("bigint")
+        given = {column: F.coalesce(F.col(column), zero) for column in (self.count, self.far_count, *self.sums, *self.low, *self.high)}
+
+        def step(df: DataFrame, **values: list[Column]) -> DataFrame:
+            # Generated, not projected: each step becomes a small method of its own, and a filter
+            # on the result is not written out in terms of all steps before.
+            columns = [value.alias(f"_{prefix}{i}") for prefix, column in values.items() for i, value in enumerate(column)]
+            return df.select(*keep, F.inline(F.array(F.struct(*columns))))
+
+        def digits(prefix: str, count: int) -> list[Column]:
+            return [F.col(f"_{prefix}{i}") for i in range(count)]
+
+        # Sums as digits of 20 bits: of the limbs, and of the products, whose upper pieces belong one weight higher.
+        twice = [2 if j % 2 else 1 for j in range(_WEIGHTS)]
+        low = [given[column] * times for column, times in zip(self.low, twice)]
+        high = [given[column] * times for column, times in zip(self.high, twice)]
+        products = [low[0], *[a + b for a, b in zip(low[1:], high)], high[-1]]
+        n, sums = given[self.count] - given[self.far_count], [given[column] for column in self.sums]
+        df = step(df, n=[n], s=_settled(_settled(sums)), q=_settled(_settled(products)))
+        n, sums, products = F.col("_n0"), digits("s", _LIMBS + 2), digits("q", _WEIGHTS + 3)
+
+        # The pivot, from the mean as a double. Any pivot gives the same variance; a near one loses no digits.
+        mean = F.rint(_number(sums) / F.greatest(n, F.lit(1)).cast("double"))
+        df = step(df, n=[n], s=_settled(sums), q=_settled(products), mean=[mean])
+        n_sums, n_products = _LIMBS + 3, _WEIGHTS + 4
+        sums, products = digits("s", n_sums), digits("q", n_products)
+        rest, pivot = F.col("_mean0"), []
+        for i in reversed(range(1, _LIMBS)):
+            top = F.floor(rest / float(_BASE**i))
+            pivot.insert(0, top)
+            rest = rest - top.cast("double") * float(_BASE**i)
+        df = step(df, n=[n], s=sums, q=products, p=[rest.cast("bigint"), *pivot])
+
+        # Sums of distances from the pivot, and q - 2 p s + n p p = q - p (2 s - n p), digit by digit.
+        p, few, many = digits("p", _LIMBS), _low(n), _high(n)
+        shift = [few * p[0], *[few * x + many * y for x, y in zip(p[1:], p)], many * p[-1]]
+        shift += [zero] * (n_sums - len(shift))
+        off = _number([x - y for x, y in zip(sums, shift)])
+        df = step(df, n=[n], q=products, p=p, t=_settled([x * 2 - y for x, y in zip(sums, shift)]), off=[off])
+        t, squares = digits("t", n_sums + 1), []
+        for j in range(max(n_products, n_sums + _LIMBS)):
+            square = products[j] if j < n_products else zero
+            for i in range(_LIMBS):
+                if 0 <= j - i < len(t):
+                    square = square - p[i] * t[j - i]
+            squares.append(square)
+        df = step(df, n=[n], m2=[_number(squares)], off=[F.col("_off0")])
+
+        m2, off, count = F.col("_m20"), F.col("_off0"), n.cast("double")
+        spread = F.greatest(m2 - off * off / count, F.lit(0.0)) / float(_BASE) ** 2 / float(_UNITS) ** 2
+        both, far_n = F.col(self.count).cast("double"), F.col(self.far_count).cast("double")
+        far_mean = F.col(self.far_sum) / far_n
+        far_spread = F.col(self.far_squares) - F.col(self.far_sum) * far_mean
+        apart = far_mean - F.when(n > 0, self._near_total() / count).otherwise(far_mean)
+        joined = F.when(n > 0, spread).otherwise(0.0) + far_spread + apart * apart * (count * (far_n / both))
+        variance = F.when(
+            F.col(self.count) > 0, F.when(F.col(self.far_count) == 0, spread / count).otherwise(joined / both)
+        )
+        return df.select(*keep, F.inline(F.array(F.struct(variance.alias(name)))))

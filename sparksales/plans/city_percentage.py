@@ -49,17 +49,14 @@ def valid_promotions(
 
 def state_reference_avg(sales: DataFrame, row_key: Sequence[str] = ("row_id",)) -> DataFrame:
     """Average amount of merchant-fulfilled, shipped rows per state."""
-    return (
-        sales.filter(
-            _known(row_key)
-            & (normalized(F.col("fulfilment")) == "merchant")
-            & (normalized(F.col("courier_status")) == "shipped")
-            & is_filled(F.col("state"))
-        )
-        .groupBy("state")
-        .agg(*_MOMENTS.first(F.col("amount")))
-        .select("state", _MOMENTS.mean().alias("reference_avg_amount"))
+    merchant = sales.filter(
+        _known(row_key)
+        & (normalized(F.col("fulfilment")) == "merchant")
+        & (normalized(F.col("courier_status")) == "shipped")
+        & is_filled(F.col("state"))
     )
+    sums = _MOMENTS.cut(merchant, F.col("amount"), "state").groupBy("state").agg(*_MOMENTS.first(squares=False))
+    return sums.select("state", _MOMENTS.mean().alias("reference_avg_amount"))
 
 
 def _candidates(sales: DataFrame, row_key: Sequence[str]) -> DataFrame:

@@ -42,7 +42,8 @@ def _histogram(orders: DataFrame, *extra: Column) -> DataFrame:
 
 
 def _amount_histogram(orders: DataFrame) -> DataFrame:
-    return _histogram(orders, *_MOMENTS.first(F.col("amount")))
+    rows = _MOMENTS.cut(orders, F.col("amount"), *GROUP, "promotion_count")
+    return _histogram(rows, *_MOMENTS.first())
 
 
 def thresholds(
@@ -68,18 +69,14 @@ def approx_thresholds(
 
 def _summarise(qualifying: DataFrame) -> DataFrame:
     """Rows and deviation per threshold; 0.0 for fewer than two rows or no amount."""
+    sums = qualifying.groupBy(*THRESHOLD_KEYS, "promotion_threshold").agg(
+        F.sum("row_count").alias("qualifying_order_count"), *_MOMENTS.again()
+    )
     deviation = F.when(F.col("qualifying_order_count") < 2, F.lit(0.0)).otherwise(
-        F.coalesce(_MOMENTS.deviation(), F.lit(0.0))
+        F.coalesce(F.sqrt("amount_variance"), F.lit(0.0))
     )
-    return (
-        qualifying.groupBy(*THRESHOLD_KEYS, "promotion_threshold")
-        .agg(F.sum("row_count").alias("qualifying_order_count"), *_MOMENTS.again())
-        .select(
-            *THRESHOLD_KEYS,
-            "promotion_threshold",
-            "qualifying_order_count",
-            deviation.alias("amount_stddev_pop"),
-        )
+    return _MOMENTS.with_variance(sums, "amount_variance").select(
+        *THRESHOLD_KEYS, "promotion_threshold", "qualifying_order_count", deviation.alias("amount_stddev_pop")
     )
 
 

@@ -39,11 +39,9 @@ def bought_by_state(sales: DataFrame) -> DataFrame:
 
 def daily_summary(sales: DataFrame) -> DataFrame:
     """Purchases and amount sums per (state, order_date, size)."""
-    return (
-        bought_orders(sales)
-        .groupBy("state", "order_date", "size")
-        .agg(F.count(F.lit(1)).alias("purchase_count"), *_MOMENTS.first(F.col("amount")))
-    )
+    keys = ["state", "order_date", "size"]
+    rows = _MOMENTS.cut(bought_orders(sales), F.col("amount"), *keys)
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("purchase_count"), *_MOMENTS.first())
 
 
 def window_length(total: str, threshold: int, short: int, long: int):
@@ -69,12 +67,12 @@ def _buckets(daily: DataFrame, lengths: DataFrame) -> DataFrame:
     network, and the final aggregate needs no further exchange.
     """
     dated = lookup_join(daily, lengths.select("state", "window_length"), "state", ["order_date", "size"])
-    return (
+    sums = (
         trailing_day_buckets(dated.repartition("state", "size"), "order_date", "window_length")
         .groupBy("state", "window_date", "size", "window_length")
         .agg(F.sum("purchase_count").alias("purchase_count"), *_MOMENTS.again())
-        .withColumn("population_variance", _MOMENTS.variance())
     )
+    return _MOMENTS.with_variance(sums, "population_variance")
 
 
 def staged_windows(

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+import random
 from datetime import date
 
 import pytest
@@ -72,9 +74,10 @@ class TestMoments:
     def summary(self, spark, groups):
         rows = [(key, value) for key, values in groups.items() for value in values]
         m = self.moments
-        parts = spark.createDataFrame(rows, "k string, v double").groupBy("k", F.rand(1) > 0.5).agg(*m.first(F.col("v")))
-        merged = parts.groupBy("k").agg(*m.again())
-        columns = [m.total(), m.total_squared(), m.mean(), m.variance(), m.deviation()]
+        cut = m.cut(spark.createDataFrame(rows, "k string, v double"), F.col("v"), "k")
+        parts = cut.groupBy("k", F.rand(1) > 0.5).agg(*m.first())
+        merged = m.with_variance(parts.groupBy("k").agg(*m.again()), "variance")
+        columns = [m.total(), m.total_squared(), m.mean(), F.col("variance"), F.sqrt("variance")]
         names = ["total", "squared", "mean", "variance", "deviation"]
         return {
             row["k"]: row
@@ -111,32 +114,40 @@ class TestMoments:
         row = self.summary(spark, {"a": [1.0, float("nan")]})["a"]
         assert row["variance"] != row["variance"]
 
-    def test_numerator_beyond_38_digits_is_exact(self, spark):
-        m = self.moments
-        # 10^13 amounts, half 9,000,000.00 and half 1.00, as already merged sums of ten-thousandths.
-        n, high, low = 10**13, 90_000_000_000, 10_000
-        half = n // 2
-        assert n * half * (high * high + low * low) > 10**38
-        piece, cut = 1 << 20, 1 << 27
-
-        def pieces(names, total):
-            return dict(zip(names, [total % piece, total // piece % piece, total // piece**2]))
-
-        parts = [(value % cut, value // cut) for value in (high, low)]
-        values = {m.count: n} | pieces(m.units, half * (high + low))
-        values |= pieces(m.low, half * sum(a * a for a, _ in parts))
-        values |= pieces(m.cross, half * sum(a * b for a, b in parts))
-        values |= pieces(m.high, half * sum(b * b for _, b in parts))
+    @pytest.mark.parametrize("n", [2, 10**6, 10**12])
+    @pytest.mark.parametrize("high, low", [(90_000_000_000, 10_000), (-5_000_000, 2_500_001), ((1 << 57) - 3, (1 << 57) - 1)])
+    def test_merged_sums_of_any_number_of_rows_are_exact(self, spark, n, high, low):
+        """Half of the amounts ``high``, half ``low`` ten-thousandths, as already merged sums."""
+        m, base = self.moments, 1 << 20
+
+        def limbs(units):
+            sign, size = (units > 0) - (units < 0), abs(units)
+            return [0, size % base * sign, size // base % base * sign, size // base**2 * sign]
+
+        def products(a):
+            a, b, c, d = a
+            return [a * a, a * b, 2 * a * c + b * b, a * d + b * c, 2 * b * d + c * c, c * d, d * d]
+
+        def half(values):
+            return [n // 2 * value for value in values]
+
+        def both(names, one, other):
+            return dict(zip(names, [x + y for x, y in zip(half(one), half(other))], strict=True))
+
+        one, other = products(limbs(high)), products(limbs(low))
+        values = {m.count: n, m.far_count: 0} | both(m.sums, limbs(high), limbs(low))
+        values |= both(m.low, [x % base for x in one], [x % base for x in other])
+        values |= both(m.high, [x // base for x in one], [x // base for x in other])
         schema = ", ".join(f"{name} bigint" for name in values)
-        df = spark.createDataFrame([tuple(values.values())], schema)
-        df = df.withColumn(m.others, F.array().cast("array<struct<n:double,mean:double,m2:double>>"))
-        (value,) = df.select(m.variance()).first()
-        assert value == 4499999.5**2
+        df = spark.createDataFrame([tuple(values.values())], schema).withColumns({m.far_sum: F.lit(0.0), m.far_squares: F.lit(0.0)})
+        (value,) = m.with_variance(df, "variance").select("variance").first()
+        assert value == pytest.approx((high - low) ** 2 / 4 / 10**8, rel=1e-15)
 
     @pytest.mark.parametrize("base", [9e6, 12345678.0, 1e9, 1e10, 1e11])
     def test_small_spread_of_large_amounts(self, spark, base):
         row = self.summary(spark, {"a": [base + cents / 100 for cents in (10, 20, 30, 40)]})["a"]
         assert row["deviation"] == pytest.approx(0.1118033988749895, abs=1e-9 if base < 1e9 else 1e-5)
+        assert base >= 1e11 or row["deviation"] == pytest.approx(0.1118033988749895, rel=1e-14)
 
     def test_off_grid_amounts_keep_their_spread(self, spark):
         values = [1e6 + x for x in (0.01, 0.02, 0.03, 0.04, 0.0412345)]
@@ -146,13 +157,26 @@ class TestMoments:
         far = self.summary(spark, {"a": [1e13 + x for x in (0, 1, 2, 3)]})["a"]
         assert far["deviation"] == pytest.approx(1.25**0.5)
 
+    def over_partitions(self, df, parts):
+        m = self.moments
+        sums = m.cut(df.repartition(parts), F.col("v")).agg(*m.first())
+        return m.with_variance(sums, "variance").select("variance", m.total()).first()
+
+    def test_full_doubles_are_the_same_for_every_partitioning(self, spark):
+        rng = random.Random(7)
+        rows = [(rng.uniform(1e7, 9e7),) for _ in range(200)] + [(rng.uniform(-1, 1),) for _ in range(50)]
+        df = spark.createDataFrame(rows, "v double")
+        found = {self.over_partitions(df, parts) for parts in (1, 2, 3, 5, 7, 11)}
+        mean = math.fsum(v for (v,) in rows) / 250
+        assert len(found) == 1
+        assert found.pop()[0] == pytest.approx(math.fsum((v - mean) ** 2 for (v,) in rows) / 250, rel=1e-14)
+
     def test_the_same_for_every_partitioning(self, spark):
         rows = [(float(10_000_000 + i * 399_999.37 % 80_000_000),) for i in range(200)]
         rows = [(round(value, 2),) for (value,) in rows]
-        df, m = spark.createDataFrame(rows, "v double"), self.moments
-        found = set()
+        df, found = spark.createDataFrame(rows, "v double"), set()
         for parts in (1, 2, 3, 5, 7, 11):
-            found.add(df.repartition(parts).agg(*m.first(F.col("v"))).select(m.variance(), m.total()).first())
+            found.add(self.over_partitions(df, parts))
         exact = [round(value * 100) for (value,) in rows]
         numerator = 200 * sum(c * c for c in exact) - sum(exact) ** 2
         assert len(found) == 1 and found.pop()[0] == pytest.approx(numerator / 200**2 / 10**4, rel=1e-15)

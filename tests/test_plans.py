@@ -70,6 +70,20 @@ def test_winner_is_cut_to_one_row_before_the_shuffle(landed):
     assert "BroadcastHashJoin" in text
 
 
+def test_sums_of_amounts_are_hash_aggregated(landed):
+    for df in (ss.winning_category(landed, threshold=50), ss.window_bucket_summary(landed, threshold=50), ss.threshold_stddev(landed, row_key=ROW_KEY)):
+        text = plan(df)
+        for unwanted in ("ObjectHashAggregate", "SortAggregate", "collect_list", "lambda"):
+            assert unwanted not in text
+        # Two pieces for each weight of the squares, and all of them whole numbers.
+        assert "sum(amount_low_6" in text and "sum(amount_high_6" in text
+
+
+def test_filters_on_variances_stay_short(landed):
+    buckets = ss.window_bucket_summary(landed, threshold=50)
+    assert len(plan(buckets.filter("population_variance > 5 OR population_variance < 3"))) < 2 * len(plan(buckets))
+
+
 def test_city_report_never_shuffles_candidate_rows(landed):
     text = plan(ss.city_qualifying_pct(landed, row_key=ROW_KEY))
     # The lists were staged; their counts come back by a short key.

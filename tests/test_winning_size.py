@@ -84,6 +84,17 @@ def test_overflowing_variance_is_reported_and_skipped(spark):
     assert (counters["malformed_buckets"], counters["winners_selected"], counters["candidates"]) == (10, 10, 20)
 
 
+def test_equal_amounts_tie_in_every_partitioning(spark):
+    rng = random.Random(11)
+    amounts = [rng.uniform(1e7, 9e7) for _ in range(200)]
+    rows = [dict(size=size, amount=amount) for size in ("B", "A") for amount in rng.sample(amounts, 200)]
+    found = set()
+    for parts in (1, 3, 7):
+        sales = sales_frame(spark, rows).repartition(parts)
+        found |= {(row["winning_size"], row["population_variance"]) for row in ss.winning_category(sales).collect()}
+    assert len(found) == 1 and found.pop()[0] == "A"
+
+
 def random_rows(seed, count, hot):
     rng = random.Random(seed)
     return [
