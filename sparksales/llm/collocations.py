@@ -166,21 +166,21 @@ class _Language:
 
     def start_numbering(self) -> None:
         self.tries = {length: HatTrie(length) for length in self.lengths if length > 1}
-        self.words, self.names, self.numbered = [_BREAK], [0], _Numbers(self)
-        self.numbered[_BREAK] = 0
+        # Ids of words that may be frequent, 0 of any other; words and their names by id.
+        self.numbered, self.words, self.names = {_BREAK: 0}, [_BREAK], np.zeros(1, np.uint64)
 
     @property
     def size(self) -> int:
         return len(self.single) + sum(trie.size for trie in self.tries.values())
 
-    def number(self, word: bytes) -> int:
-        """An id of a word that may be frequent, 0 of any other."""
-        name = xxhash.xxh64_intdigest(word, self._seed)
-        if self._frequent is not None and not self._frequent.may_hold(np.array([name], np.uint64))[0]:
-            return 0
-        self.words.append(word)
-        self.names.append(name)
-        return len(self.words) - 1
+    def _number(self, new: list[bytes]) -> None:
+        names = np.array([xxhash.xxh64_intdigest(word, self._seed) for word in new], np.uint64)
+        may_be = np.ones(len(new), bool) if self._frequent is None else self._frequent.may_hold(names)
+        self.numbered.update(dict.fromkeys(new, 0))
+        kept = [new[i] for i in np.flatnonzero(may_be)]
+        self.numbered.update(zip(kept, range(len(self.words), len(self.words) + len(kept))))
+        self.words += kept
+        self.names = np.concatenate([self.names, names[may_be]])
 
     def add(self, texts: list[bytes]) -> None:
         words = words_of(texts)
@@ -188,13 +188,14 @@ class _Language:
             self.single.update(words)
             self.total += len(words) - self.single.pop(_BREAK, 0)
             return
-        ids = np.array(list(map(self.numbered.__getitem__, words)), np.int64)
+        if new := list(set(words).difference(self.numbered)):
+            self._number(new)
+        ids = np.fromiter(map(self.numbered.__getitem__, words), np.int64, len(words))
         known = ids > 0
         # Whether the pair that starts at a place may be frequent.
         pair = np.flatnonzero(known[:-1] & known[1:]) if len(ids) else np.zeros(0, np.int64)
         if self._pairs is not None and len(pair):
-            names = np.array(self.names, np.uint64)
-            pair = pair[self._pairs.may_hold(combine(names[ids[pair]], names[ids[pair + 1]]))]
+            pair = pair[self._pairs.may_hold(combine(self.names[ids[pair]], self.names[ids[pair + 1]]))]
         linked = np.zeros(len(ids) + 1, bool)
         linked[pair] = True
         whole, starts = linked, pair
@@ -221,10 +222,10 @@ class _Language:
         for trie in self.tries.values():
             ids, counts = trie.spill(keep * trie.size // total)
             if len(counts):
-                spelled, names = pa.array(self.words, pa.binary()), np.array(self.names, np.uint64)
-                prefix = combine(names[ids[:, 0]], names[ids[:, 1]])
+                spelled = pa.array(self.words, pa.binary())
+                prefix = combine(self.names[ids[:, 0]], self.names[ids[:, 1]])
                 if trie.length > 2:
-                    prefix = combine(prefix, names[ids[:, 2]])
+                    prefix = combine(prefix, self.names[ids[:, 2]])
                 yield self._run([spelled.take(pa.array(column)) for column in ids.T], prefix, counts, parts)
 
     def _run(self, columns: list[pa.Array], prefix: np.ndarray, counts: np.ndarray, parts: int) -> pa.RecordBatch:
@@ -246,16 +247,6 @@ class _Language:
         return pa.RecordBatch.from_arrays(packed, schema=_RUN_ARROW)
 
 
-class _Numbers(dict):
-    def __init__(self, language: _Language):
-        super().__init__()
-        self._number = language.number
-
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = self._number(word)
-        return found
-
-
 def _merge(table: pa.Table) -> pa.Table:
     """Runs of one language and prefix partition: counts of each phrase."""
     lines = b"".join(table["phrases"].to_pylist())
