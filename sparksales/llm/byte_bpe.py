@@ -27,11 +27,12 @@ import regex
 from pyspark.sql import DataFrame
 
 from .shipping import map_batches
-from .tables import with_fields
+from .tables import free_name, with_fields
 
 SLICE_BYTES = 4 << 20
-CACHED_PIECES = 200_000
-CACHED_PAIRS = 600_000
+CACHED_BYTES = 20 << 20  # a generation of a cache, with what Python adds to each entry
+ENTRY_BYTES = 220
+CACHED_PAIRS = 300_000
 _NONE = 1 << 60
 _PAIR = 1 << 24
 _TAILS = frozenset(".,;:!?")
@@ -196,16 +197,19 @@ class _Cached(dict):
 
     def __init__(self, compute):
         super().__init__()
-        self.compute, self.old = compute, {}
+        self.compute, self.old, self.held = compute, {}, 0
 
     def __missing__(self, key: str) -> bytes:
-        if len(self) >= CACHED_PIECES:
-            self.old = dict(self)
+        if self.held >= CACHED_BYTES:
+            self.old, self.held = dict(self), 0
             self.clear()
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)
-        self[key] = value
+        size = len(key) + len(value) + ENTRY_BYTES
+        if size < CACHED_BYTES // 64:
+            self[key] = value
+            self.held += size
         return value
 
 
@@ -247,11 +251,19 @@ class TextEncoder:
         known = self._stretch
         return known[first] + b"".join([known[" " + stretch] for stretch in others])
 
+
+class TokenBytes:
+    """The bytes that ids stand for: all a decoder needs."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.tokens = {rank: token for token, rank in ranks.items()}
+
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.encoder.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 _encoders: dict[tuple[str, str], TextEncoder] = {}
+_decoders: dict[str, TokenBytes] = {}
 
 
 def _encoder(path: str, pattern: str) -> TextEncoder:
@@ -261,6 +273,12 @@ def _encoder(path: str, pattern: str) -> TextEncoder:
     return _encoders[key]
 
 
+def _decoder(path: str) -> TokenBytes:
+    if path not in _decoders:
+        _decoders[path] = TokenBytes(load_ranks(path))
+    return _decoders[path]
+
+
 def _in_slices(batch: pa.RecordBatch, texts: list) -> Iterator[tuple[pa.RecordBatch, list]]:
     start, size = 0, 0
     for at, text in enumerate(texts):
@@ -272,32 +290,48 @@ def _in_slices(batch: pa.RecordBatch, texts: list) -> Iterator[tuple[pa.RecordBa
         yield batch.slice(start), texts[start:]
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def encode(
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    text: str = "text",
+    keep: tuple[str, ...] = ("doc_id",),
+    decoded: str | None = None,
+) -> DataFrame:
     """``keep`` columns with ``token_ids`` (binary, little-endian unsigned 32-bit integers).
 
+    ``decoded`` names a further column for the bytes that the ids stand for, decoded in the same pass.
     ``ranks_path`` is read by the executors; it belongs to an installed package.
     """
     kept = docs.select(*keep, docs[text].alias("_text"))
-    schema = with_fields(docs.select(*keep).schema, "token_ids binary")
+    added = ["token_ids", *([decoded] if decoded else [])]
+    schema = with_fields(docs.select(*keep).schema, ", ".join(f"{name} binary" for name in added))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(ranks_path, pattern)
+        encoder, decode = _encoder(ranks_path, pattern), _decoder(ranks_path).decode
         for batch in batches:
             for part, texts in _in_slices(batch, batch.column("_text").to_pylist()):
-                ids = pa.array([encoder.encode(t or "") for t in texts], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids], [*keep, "token_ids"])
+                ids = [encoder.encode(t or "") for t in texts]
+                columns = [pa.array(ids, pa.binary())]
+                if decoded:
+                    columns.append(pa.array(map(decode, ids), pa.binary()))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *columns], [*keep, *added])
 
     return map_batches(kept, run, schema)
 
 
-def decode(encoded: DataFrame, ranks_path: str, pattern: str, ids: str = "token_ids") -> DataFrame:
-    """All columns with ``decoded`` (binary): the bytes that the ids stand for."""
-    schema = with_fields(encoded.schema, "decoded binary")
+def decode(encoded: DataFrame, ranks_path: str, ids: str = "token_ids", name: str = "decoded") -> DataFrame:
+    """All columns with one more (binary): the bytes that the ids stand for; none for null ids.
+
+    Where ``name`` is taken, underscores are put behind it.
+    """
+    name = free_name(encoded, name)
+    schema = with_fields(encoded.schema, f"{name} binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(ranks_path, pattern)
+        found = _decoder(ranks_path).decode
         for batch in batches:
-            texts = pa.array([encoder.decode(i or b"") for i in batch.column(ids).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, "decoded"])
+            texts = pa.array([found(i or b"") for i in batch.column(ids).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, name])
 
     return map_batches(encoded, run, schema)

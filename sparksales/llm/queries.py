@@ -87,8 +87,7 @@ def languages(spark: SparkSession, folder: str) -> DataFrame:
 
 def encoded(spark: SparkSession, folder: str) -> DataFrame:
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    found = byte_bpe.encode(table(spark, folder, "documents"), path, pattern)
-    found = byte_bpe.decode(found, path, pattern)
+    found = byte_bpe.encode(table(spark, folder, "documents"), path, pattern, decoded="decoded")
     return found.select(
         "doc_id",
         (F.octet_length("token_ids") / 4).cast("bigint").alias("n_tokens"),

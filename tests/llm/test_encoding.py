@@ -33,8 +33,10 @@ def ids(data: bytes) -> list[int]:
 def test_odd_documents(spark, expected):
     docs = odd_documents(spark)
     encoded = byte_bpe.encode(docs, PATH, PATTERN, keep=("doc_id", "text"))
-    rows = byte_bpe.decode(encoded, PATH, PATTERN).collect()
+    rows = byte_bpe.decode(encoded, PATH).collect()
     assert len(rows) == len(odd_texts())
+    once = byte_bpe.encode(docs, PATH, PATTERN, keep=("doc_id", "text"), decoded="decoded")
+    assert sorted(once.collect(), key=repr) == sorted(rows, key=repr)
     for row in rows:
         assert ids(row.token_ids) == expected(row.text or "")
         assert bytes(row.decoded).decode() == (row.text or "")
@@ -78,6 +80,26 @@ def test_appends_and_edits(ranks):
         assert computed <= len(by) + 4 * encoder.longest
 
 
+def test_small_caches_change_nothing(ranks, expected, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "CACHED_BYTES", 2000)
+    monkeypatch.setattr(byte_bpe, "ENTRY_BYTES", 1)
+    monkeypatch.setattr(byte_bpe, "CACHED_PAIRS", 5)
+    encoder = byte_bpe.TextEncoder(ranks, PATTERN)
+    rng = random.Random(4)
+    for _ in range(300):
+        text = " ".join("".join(rng.choice("thenads.") for _ in range(rng.randrange(1, 9))) for _ in range(20))
+        assert ids(encoder.encode(text)) == expected(text)
+    assert encoder._piece.held < 2100 and encoder._stretch.held < 2100
+
+
+def test_decoding_beside_a_column_of_that_name(spark):
+    rows = [(1, bytearray(b"\x00\x00\x00\x00"), "x"), (2, None, None)]
+    encoded = spark.createDataFrame(rows, "doc_id int, token_ids binary, decoded string")
+    found = byte_bpe.decode(encoded, PATH)
+    assert found.columns == ["doc_id", "token_ids", "decoded", "decoded_"]
+    assert [(r.decoded, bytes(r.decoded_)) for r in found.orderBy("doc_id").collect()] == [("x", b"!"), (None, b"")]
+
+
 def test_empty_table(spark):
     docs = odd_documents(spark).limit(0)
     assert byte_bpe.encode(docs, PATH, PATTERN).count() == 0
