@@ -49,9 +49,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, checked by decoding them."""
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    ids = byte_bpe.encode(docs, path, pattern, keep=("doc_id", "lang", "source"))
-    decoded = byte_bpe.decode(ids, path, pattern)
-    return decoded.select(
+    ids = byte_bpe.encode(docs, path, pattern, keep=("doc_id", "lang", "source"), decoded="decoded")
+    return ids.select(
         "doc_id",
         "lang",
         "source",
