@@ -7,6 +7,7 @@ values. Positions are then read off the running row count.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -14,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 METHODS = ("approx", "exact")
 DEFAULT_LEVELS = {"P80": 0.8, "P90": 0.9}
 DEFAULT_ACCURACY = 10000
+LARGEST_SKETCH = 65535
+SALTS = 32
 
 
 def count_histogram(df: DataFrame, keys: Sequence[str], value: str, extra: Sequence[Column] = ()) -> DataFrame:
@@ -77,6 +80,36 @@ def with_percentiles(
     )
 
 
+def sketch_size(accuracy: int) -> int:
+    """The k of a KLL sketch whose rank error is about 1 / ``accuracy``; at most what Spark allows."""
+    if accuracy < 1:
+        raise ValueError(f"accuracy must be positive, got {accuracy}")
+    return max(8, min(LARGEST_SKETCH, math.ceil((2.296 * accuracy) ** (1 / 0.9021))))
+
+
+def task_salt() -> Column:
+    """A number that spreads what tasks send over ``SALTS`` receivers; a retried task picks the same one."""
+    return F.pmod(F.spark_partition_id(), F.lit(SALTS))
+
+
+def sketch_quantiles(
+    sketches: DataFrame, keys: Sequence[str], sketch: str, levels: Mapping[str, float] = DEFAULT_LEVELS
+) -> DataFrame:
+    """(keys, method, percentile_level, percentile, threshold) of merged sketches; null for empty ones."""
+    n = F.kll_sketch_get_n_bigint(sketch)
+    per_level = F.array(
+        *[
+            F.struct(
+                F.lit(label).alias("percentile_level"),
+                F.lit(float(p)).alias("percentile"),
+                F.when(n > 0, F.kll_sketch_get_quantile_bigint(sketch, F.lit(float(p)))).cast("double").alias("threshold"),
+            )
+            for label, p in levels.items()
+        ]
+    )
+    return sketches.withColumn("level", F.explode(per_level)).select(*keys, F.lit("approx").alias("method"), "level.*")
+
+
 def approx_percentiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -84,23 +117,16 @@ def approx_percentiles(
     levels: Mapping[str, float] = DEFAULT_LEVELS,
     accuracy: int = DEFAULT_ACCURACY,
 ) -> DataFrame:
-    """Sketch form straight over rows: one ``percentile_approx`` per group, one output row per level.
+    """Sketch form straight over rows: mergeable KLL sketches, one output row per group and level.
 
-    Each task ships one sketch per group, and all sketches of a group meet in one
-    task. Use it for domains too wide for ``count_histogram``.
+    Each task ships one sketch of bounded size per group. They are merged in two levels: by
+    group and a salt of the task, then by group, so no task merges more than its share of a hot
+    group's sketches, and then ``SALTS``. A sketch answers exactly until a group outgrows it; beyond
+    that the rank error is about 1 / ``accuracy``, and two runs may differ within it. Use it
+    for domains too wide for ``count_histogram``.
     """
-    labels = list(levels)
-    found = df.groupBy(*keys).agg(
-        F.percentile_approx(value, [float(levels[label]) for label in labels], accuracy).alias("found")
-    )
-    per_level = F.array(
-        *[
-            F.struct(
-                F.lit(label).alias("percentile_level"),
-                F.lit(float(levels[label])).alias("percentile"),
-                F.element_at("found", position).cast("double").alias("threshold"),
-            )
-            for position, label in enumerate(labels, start=1)
-        ]
-    )
-    return found.withColumn("level", F.explode(per_level)).select(*keys, F.lit("approx").alias("method"), "level.*")
+    size = sketch_size(accuracy)
+    salted = df.select(*keys, value, task_salt().alias("task_salt")).groupBy(*keys, "task_salt")
+    sketches = salted.agg(F.kll_sketch_agg_bigint(value, F.lit(size)).alias("sketch"))
+    merged = sketches.groupBy(*keys).agg(F.kll_merge_agg_bigint("sketch", F.lit(size)).alias("sketch"))
+    return sketch_quantiles(merged, keys, "sketch", levels)

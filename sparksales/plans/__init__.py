@@ -7,7 +7,7 @@ from .city_percentage import (
     valid_promotion_counts,
     valid_promotions,
 )
-from .counters import quality_counters
+from .counters import ObservedWinners, quality_counters
 from .style_variety import median_variety, style_records, style_variety
 from .threshold_deviation import (
     approx_thresholds,
@@ -27,6 +27,7 @@ from .winning_size import (
 )
 
 __all__ = [
+    "ObservedWinners",
     "approx_thresholds",
     "bought_by_state",
     "bought_orders",

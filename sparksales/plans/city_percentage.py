@@ -125,7 +125,7 @@ def city_qualifying_pct(
         lookup_join(rows, averages, "state", ["city", "amount"], "left")
         .groupBy("city", F.when(may_qualify, F.col("promotion_ids")).alias("promotion_ids"))
         .agg(F.count(F.lit(1)).alias("row_count"))
-        .withColumn("list_key", F.xxhash64("promotion_ids"))
+        .withColumn("list_key", F.md5("promotion_ids"))
     )
     counts = stage_lookup(_valid_by_list(lists, valid))
     keyed = lists.select("city", "row_count", F.when(F.col("promotion_ids").isNotNull(), F.col("list_key")).alias("list_key"))

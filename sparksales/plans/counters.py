@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..operators import lookup_join
 from .winning_size import (
@@ -11,6 +11,7 @@ from .winning_size import (
     SHORT_WINDOW,
     is_usable,
     staged_windows,
+    winners_of,
 )
 
 
@@ -31,37 +32,38 @@ def quality_counters(
     the sum over states of orders times window length.
     """
     daily, lengths, buckets = staged_windows(sales, threshold, short, long, daily, lengths)
+    of_buckets = (
+        buckets.groupBy("state", "window_date")
+        .agg(*[metric.alias(name) for name, metric in _of_buckets().items()], F.max(is_usable("population_variance")).alias("has_winner"))
+        .agg(*[_none_as_zero(F.sum(name)).alias(name) for name in _of_buckets()], F.count_if("has_winner").alias("winners_selected"))
+    )
+    return _all_counters(daily, lengths, threshold, of_buckets)
+
 
-    def none_as_zero(column):
-        return F.coalesce(column, F.lit(0)).cast("bigint")
+def _none_as_zero(column: Column) -> Column:
+    return F.coalesce(column, F.lit(0)).cast("bigint")
 
+
+def _of_buckets() -> dict[str, Column]:
+    return {
+        "buckets_emitted": _none_as_zero(F.sum("purchase_count")),
+        "candidates": F.count(F.lit(1)),
+        "malformed_buckets": F.count_if(~is_usable("population_variance")),
+    }
+
+
+def _all_counters(daily: DataFrame, lengths: DataFrame, threshold: int, of_buckets: DataFrame) -> DataFrame:
     of_orders = daily.agg(
-        none_as_zero(F.sum("purchase_count")).alias("bought_orders"),
-        none_as_zero(F.sum(F.col("purchase_count") - F.col("amount_count"))).alias("bought_orders_without_amount"),
+        _none_as_zero(F.sum("purchase_count")).alias("bought_orders"),
+        _none_as_zero(F.sum(F.col("purchase_count") - F.col("amount_count"))).alias("bought_orders_without_amount"),
     )
     of_states = lengths.agg(
         F.count(F.lit(1)).alias("states"),
         F.count_if(F.col("total") > threshold).alias("states_with_short_window"),
-        none_as_zero(F.sum(F.col("total") * F.col("window_length"))).alias("buckets_expected"),
+        _none_as_zero(F.sum(F.col("total") * F.col("window_length"))).alias("buckets_expected"),
     )
     unmatched = lookup_join(daily, lengths, "state", ["order_date", "size"], "left_anti").agg(
-        none_as_zero(F.sum("purchase_count")).alias("missing_state_window")
-    )
-    usable = is_usable("population_variance")
-    of_buckets = (
-        buckets.groupBy("state", "window_date")
-        .agg(
-            F.sum("purchase_count").alias("emitted"),
-            F.count(F.lit(1)).alias("candidates"),
-            F.count_if(~usable).alias("malformed"),
-            F.max(usable).alias("has_winner"),
-        )
-        .agg(
-            none_as_zero(F.sum("emitted")).alias("buckets_emitted"),
-            none_as_zero(F.sum("candidates")).alias("candidates"),
-            none_as_zero(F.sum("malformed")).alias("malformed_buckets"),
-            F.count_if("has_winner").alias("winners_selected"),
-        )
+        _none_as_zero(F.sum("purchase_count")).alias("missing_state_window")
     )
 
     def as_rows(wide: DataFrame) -> DataFrame:
@@ -72,3 +74,36 @@ def quality_counters(
     for wide in (of_states, unmatched, of_buckets):
         counters = counters.unionByName(as_rows(wide))
     return counters.orderBy("counter")
+
+
+class ObservedWinners:
+    """``winning_category`` with the counters of ``quality_counters`` taken by the run that writes it.
+
+    ``winners`` is the result. Once an action on it is done, ``counters()`` gives what that
+    run saw, without making the buckets again; only the staged daily sums are read for the rest.
+    """
+
+    def __init__(
+        self,
+        sales: DataFrame | None,
+        threshold: int = BOUGHT_THRESHOLD,
+        short: int = SHORT_WINDOW,
+        long: int = LONG_WINDOW,
+        daily: DataFrame | None = None,
+        lengths: DataFrame | None = None,
+    ):
+        self._threshold = threshold
+        self._daily, self._lengths, buckets = staged_windows(sales, threshold, short, long, daily, lengths)
+        self._buckets, self._winners = Observation(), Observation()
+        metrics = [metric.alias(name) for name, metric in _of_buckets().items()]
+        # The result is counted behind its sort: Spark runs what is before twice, to find the sort's ranges.
+        chosen = winners_of(buckets.observe(self._buckets, *metrics)).orderBy("state", "window_date")
+        self.winners = chosen.observe(self._winners, F.count(F.lit(1)).alias("winners_selected"))
+
+    def counters(self) -> DataFrame:
+        """The (counter, value) rows of ``quality_counters``; waits for an action on ``winners``."""
+        seen = self._buckets.get | self._winners.get
+        names = [*_of_buckets(), "winners_selected"]
+        schema = ", ".join(f"{name} bigint" for name in names)
+        observed = self._daily.sparkSession.createDataFrame([tuple(seen[name] for name in names)], schema)
+        return _all_counters(self._daily, self._lengths, self._threshold, observed)

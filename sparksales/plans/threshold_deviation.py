@@ -13,8 +13,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import Moments, is_filled, month_key, month_start, promotion_count
-from ..operators import approx_percentiles, count_histogram, with_percentiles
-from ..operators.percentiles import DEFAULT_ACCURACY, DEFAULT_LEVELS, METHODS
+from ..operators import approx_percentiles, count_histogram, stage, with_percentiles
+from ..operators.percentiles import (
+    DEFAULT_ACCURACY,
+    DEFAULT_LEVELS,
+    METHODS,
+    sketch_quantiles,
+    sketch_size,
+    task_salt,
+)
 
 GROUP = ["month", "sku"]
 THRESHOLD_KEYS = [*GROUP, "method", "percentile_level", "percentile"]
@@ -62,7 +69,7 @@ def thresholds(
 def approx_thresholds(
     orders: DataFrame, levels: Mapping[str, float] = DEFAULT_LEVELS, accuracy: int = DEFAULT_ACCURACY
 ) -> DataFrame:
-    """The approximate thresholds as ``percentile_approx`` sketches over rows."""
+    """The approximate thresholds from quantile sketches over rows."""
     found = approx_percentiles(orders, GROUP, "promotion_count", levels, accuracy)
     return found.withColumn("month", month_key(F.col("month"))).withColumnRenamed("threshold", "promotion_threshold")
 
@@ -86,20 +93,69 @@ def deviation_above_thresholds(orders: DataFrame, given: DataFrame) -> DataFrame
     return _summarise(joined.filter(F.col("promotion_count").cast("double") >= F.col("promotion_threshold")))
 
 
+def _sketched_histogram(orders: DataFrame, accuracy: int) -> DataFrame:
+    """The amount histogram with a sketch of the promotion counts on each row; staged.
+
+    The sketches come from the same scan as the sums. A salt of the task keeps the sketches of a
+    hot SKU's tasks apart until few are left.
+    """
+    size, keys = sketch_size(accuracy), [*GROUP, "promotion_count"]
+    rows = _MOMENTS.cut(orders, F.col("amount"), *keys).withColumn("task_salt", task_salt())
+    parts = rows.groupBy(*keys, "task_salt").agg(
+        F.count(F.lit(1)).alias("row_count"),
+        *_MOMENTS.first(),
+        F.kll_sketch_agg_bigint("promotion_count", F.lit(size)).alias("sketch"),
+    )
+    merged = parts.groupBy(*keys).agg(
+        F.sum("row_count").alias("row_count"),
+        *_MOMENTS.again(),
+        F.kll_merge_agg_bigint("sketch", F.lit(size)).alias("sketch"),
+    )
+    return stage(merged.withColumn("month", month_key(F.col("month"))))
+
+
+def _qualifying(histogram: DataFrame, levels: Mapping[str, float], methods: Sequence[str]) -> DataFrame:
+    return (
+        with_percentiles(histogram, GROUP, "promotion_count", levels, methods)
+        .withColumn("level", F.explode("thresholds"))
+        .filter(F.col("promotion_count").cast("double") >= F.col("level.threshold"))
+        .select("*", "level.*")
+        .drop("level", "thresholds", "last_in_group")
+        .withColumnRenamed("threshold", "promotion_threshold")
+    )
+
+
 def threshold_stddev(
     sales: DataFrame,
     levels: Mapping[str, float] = DEFAULT_LEVELS,
     methods: Sequence[str] = METHODS,
     row_key: Sequence[str] = ("row_id",),
+    accuracy: int | None = None,
 ) -> DataFrame:
-    """Both methods and all levels in one pass: threshold, qualifying rows, deviation."""
-    qualifying = (
-        with_percentiles(_amount_histogram(promotion_orders(sales, row_key)), GROUP, "promotion_count", levels, methods)
-        .withColumn("level", F.explode("thresholds"))
-        .filter(F.col("promotion_count").cast("double") >= F.col("level.threshold"))
-        .select("*", "level.*")
-        .withColumnRenamed("threshold", "promotion_threshold")
-    )
+    """Both methods and all levels in one scan of the sales: threshold, qualifying rows, deviation.
+
+    By default approximate thresholds are read off the histogram, too. With ``accuracy`` they come
+    from quantile sketches with a rank error of about 1 / ``accuracy``; this stages the
+    histogram, so it runs the scan.
+    """
+    unknown = set(methods) - set(METHODS)
+    if unknown or not methods:
+        raise ValueError(f"methods must be some of {METHODS}, got {list(methods)}")
+    orders = promotion_orders(sales, row_key)
+    if accuracy is None or "approx" not in methods:
+        qualifying = _qualifying(_amount_histogram(orders), levels, methods)
+    else:
+        sketched = _sketched_histogram(orders, accuracy)
+        histogram = sketched.drop("sketch")
+        of_groups = sketched.groupBy(*GROUP).agg(
+            F.kll_merge_agg_bigint("sketch", F.lit(sketch_size(accuracy))).alias("sketch")
+        )
+        given = sketch_quantiles(of_groups, GROUP, "sketch", levels).withColumnRenamed("threshold", "promotion_threshold")
+        qualifying = histogram.join(given, GROUP).filter(
+            F.col("promotion_count").cast("double") >= F.col("promotion_threshold")
+        )
+        if "exact" in methods:
+            qualifying = qualifying.unionByName(_qualifying(histogram, levels, ("exact",)))
     return _summarise(qualifying).orderBy(*GROUP, "method", "percentile_level")
 
 

@@ -133,6 +133,10 @@ def winning_category(
     smaller variance; smaller size name.
     """
     _, _, buckets = staged_windows(sales, threshold, short, long, daily)
+    return winners_of(buckets).orderBy("state", "window_date")
+
+
+def winners_of(buckets: DataFrame) -> DataFrame:
     winners = best_per_group(
         buckets.filter(is_usable("population_variance")).select(
             "state", "window_date", "size", "purchase_count", "population_variance", "window_length"
@@ -140,4 +144,4 @@ def winning_category(
         ["state", "window_date"],
         [F.col("purchase_count").desc(), F.col("population_variance").asc_nulls_last(), F.col("size").asc()],
     )
-    return winners.withColumnRenamed("size", "winning_size").orderBy("state", "window_date")
+    return winners.withColumnRenamed("size", "winning_size")

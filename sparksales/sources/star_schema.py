@@ -74,7 +74,8 @@ def raw_from_tables(spark: SparkSession, folder: str) -> DataFrame:
     """The same rows as 24 text columns, as an export would hold them."""
     sales = sales_from_tables(spark, folder)
     values = {
-        "index": F.xxhash64(*ROW_KEY).cast("string"),
+        # Written with a fraction, as float columns are exported.
+        "index": F.concat((F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("string"), F.lit(".0")),
         "Order ID": F.concat_ws("/", *[F.col(name).cast("string") for name in ROW_KEY]),
         "Date": F.date_format("order_date", "MM-dd-yy"),
     }

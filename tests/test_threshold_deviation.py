@@ -129,3 +129,41 @@ def test_group_sizes(spark):
     assert ss.largest_group(orders, ["month", "sku"]).collect() == [(2, 3, False)]
     assert ss.largest_group(orders, ["month", "sku"], warn_above=2).collect() == [(2, 3, True)]
     assert ss.row_count(orders).collect() == [(4,)]
+
+
+class TestAccuracy:
+    def orders(self, count, hot=1 / 3):
+        rng = random.Random(9)
+        skus = ["hot" if rng.random() < hot else f"s{rng.randrange(40)}" for _ in range(count)]
+        return [
+            dict(sku=sku, amount=rng.choice([None, 5.0, 7.25, 100.5]), promotion_ids=",".join("p" * rng.randrange(60)) or None)
+            for sku in skus
+        ]
+
+    def test_small_groups_are_answered_exactly(self, spark):
+        sales = sales_frame(spark, self.orders(600)).repartition(5)
+        expected = sorted(ss.threshold_stddev(sales).collect())
+        assert sorted(ss.threshold_stddev(sales, accuracy=10_000).collect()) == expected
+        approx = sorted(ss.threshold_stddev(sales, methods=("approx",)).collect())
+        assert sorted(ss.threshold_stddev(sales, methods=("approx",), accuracy=500).collect()) == approx
+
+    def test_rank_error(self, spark):
+        # Wide values, far more of them than a sketch of this accuracy holds.
+        df = spark.range(200_000, numPartitions=40).selectExpr("'g' AS g", "(id * 7919) % 200000 AS v")
+        for accuracy in (50, 1000):
+            for row in ss.approx_percentiles(df, ["g"], "v", accuracy=accuracy).collect():
+                assert abs(row["threshold"] / 200_000 - row["percentile"]) < 3 / accuracy
+        with pytest.raises(ValueError):
+            ss.approx_percentiles(df, ["g"], "v", accuracy=0)
+
+    def test_sketches_of_a_hot_group_are_merged_in_two_levels(self, spark):
+        sales = sales_frame(spark, self.orders(50))
+        text = ss.approx_percentiles(ss.promotion_orders(sales), ["month", "sku"], "promotion_count")._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Exchange hashpartitioning") == 2 and "hashpartitioning(month" in text
+        assert "task_salt" in text[text.rindex("Exchange hashpartitioning") :].splitlines()[0]
+        assert text.count("Scan") == 1
+
+    def test_wide_groups_are_staged_once(self, spark):
+        sales = sales_frame(spark, self.orders(50))
+        text = ss.threshold_stddev(sales, accuracy=100)._jdf.queryExecution().executedPlan().toString()
+        assert "ExistingRDD" not in text and "FileScan parquet" in text

@@ -138,6 +138,19 @@ def test_counters_reconcile(spark):
     assert counters["missing_state_window"] == counters["malformed_buckets"] == 0
 
 
+def test_the_run_itself_counts(spark, tmp_path):
+    sales = sales_frame(spark, [*random_rows(6, 300, 0.5), dict(size="S", state="z", amount=1e200), dict(size="S", state="z", amount=-1e200)])
+    run = ss.ObservedWinners(sales, threshold=60)
+    ss.write_result(run.winners, str(tmp_path / "winners"), "parquet")
+    rows = sorted(ss.quality_counters(sales, threshold=60).collect())
+    assert sorted(run.counters().collect()) == rows
+    assert sorted(spark.read.parquet(str(tmp_path / "winners")).collect()) == sorted(ss.winning_category(sales, threshold=60).collect())
+    assert dict(rows)["malformed_buckets"] == 10
+    nothing = ss.ObservedWinners(sales_frame(spark, [dict(status="Cancelled")]))
+    assert nothing.winners.collect() == []
+    assert {row["value"] for row in nothing.counters().collect()} == {0}
+
+
 def test_given_window_lengths_may_lack_a_state(spark):
     sales = sales_frame(spark, [dict(state="A"), dict(state="A"), dict(state="B")])
     daily = ss.stage(ss.daily_summary(sales))
