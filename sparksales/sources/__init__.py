@@ -1,6 +1,6 @@
 """Reading the raw sales table and writing results."""
 
-from .reader import read_sales_csv, typed_sales
+from .reader import parsing_report, read_sales_csv, rejected_cells, typed_sales
 from .writer import write_result
 
-__all__ = ["read_sales_csv", "typed_sales", "write_result"]
+__all__ = ["parsing_report", "read_sales_csv", "rejected_cells", "typed_sales", "write_result"]

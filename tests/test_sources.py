@@ -55,6 +55,33 @@ def test_file_without_header_keeps_its_first_row(spark, tmp_path):
     assert sorted(row["row_id"] for row in ss.typed_sales(raw).collect()) == [1, 2]
 
 
+def test_rejected_cells_and_lines(spark, tmp_path):
+    text = "\n".join(
+        [
+            HEADER,
+            line(index="1", Order_ID="a", Date="02-30-22", Qty="x", Amount="1.5"),
+            line(index="2", Order_ID="b", Date=" ", Qty="", Amount="12,5".join('""')),
+            "4,short",
+            HEADER,
+            line(index="5", Order_ID="c", Date="02-28-22", Qty="1", Amount="1e3") + ",one,more",
+        ]
+    )
+    read(spark, tmp_path / "in", text)
+    raw = ss.read_sales_csv(spark, str(tmp_path / "in"), bad_line="broken")
+    found = {tuple(row) for row in ss.rejected_cells(raw, bad_line="broken").collect()}
+    cells = {("a", "order_date", "02-30-22"), ("a", "qty", "x"), ("b", "amount", "12,5")}
+    assert {row for row in found if row[1] != "line"} == cells
+    assert {(row[0], row[2].split(",")[0]) for row in found if row[1] == "line"} == {("short", "4"), ("c", "5")}
+    assert {tuple(row) for row in ss.rejected_cells(ss.read_sales_csv(spark, str(tmp_path / "in"))).collect()} == cells
+    report = {row["column"]: (row["filled"], row["rejected"]) for row in ss.parsing_report(raw, bad_line="broken").collect()}
+    assert report == {"row_id": (4, 0), "order_date": (2, 1), "qty": (2, 1), "amount": (3, 1), "line": (4, 2)}
+    clamped = ss.parsing_report(raw, clamp_days=True).filter("column = 'order_date'").first()
+    assert (clamped["filled"], clamped["rejected"]) == (2, 0)
+    assert sorted(row["row_id"] for row in ss.typed_sales(raw).collect()) == [1, 2, 4, 5]
+    nothing = ss.parsing_report(raw.limit(0)).collect()
+    assert {(row["filled"], row["rejected"]) for row in nothing} == {(0, 0)}
+
+
 def results(spark):
     rows = [("TP, HCM", 'size "M"', 1, 0.5), ("  padded ", "S\tT", 2, None), ("plain", "", 3, 12345678.5)]
     return spark.createDataFrame(rows, "state string, size string, n bigint, variance double")
