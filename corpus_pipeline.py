@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sparksales.llm import byte_bpe, phrase_index, quality, recompression, simhash
 from sparksales.llm.queries import VOCABULARY, remainder
 from sparksales.llm.tables import table
-from sparksales.operators.staging import stage
+from sparksales.operators.staging import hadoop_path, new_folder, staging_scope
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -74,7 +74,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """Token ids of what the stages keep of ``documents``; only the last stage's input stays staged."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, apply in STAGES[:-1]:
-        docs = stage(apply(spark, docs, sf_dir))
+        written = new_folder(spark)
+        # What a stage stages for itself goes when its rows are written, and so does its input.
+        with staging_scope(spark):
+            apply(spark, docs, sf_dir).write.parquet(written)
+        if before is not None:
+            fs, folder = hadoop_path(spark, before)
+            fs.delete(folder, True)
+        docs, before = spark.read.parquet(written), written
     return STAGES[-1][1](spark, docs, sf_dir)
