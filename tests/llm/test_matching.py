@@ -210,6 +210,38 @@ def test_conversations(spark):
     assert conversations.collapse_and_render(turns.limit(0)).count() == 0
 
 
+def plain_chats(rows):
+    """(conv_id, n_turns, n_copies, text) by definition: null turn numbers first, then by role and text."""
+    first = lambda value: (value is not None, value if value is not None else 0)
+    by_id = {}
+    for conv, turn, role, text in set(rows):
+        by_id.setdefault(conv, []).append((first(turn), (role is not None, role or ""), (text is not None, text or "")))
+    said = {conv: [(role, text) for _, role, text in sorted(turns)] for conv, turns in by_id.items()}
+    kept = {}
+    for conv, turns in said.items():
+        if not any(len(other) > len(turns) and other[: len(turns)] == turns for other in said.values()):
+            kept.setdefault(tuple(turns), []).append(conv)
+    rendered = []
+    for turns, convs in kept.items():
+        text = "".join(f"<|im_start|>{role}\n{text}<|im_end|>\n" for (_, role), (_, text) in turns)
+        rendered.append((min(convs, key=lambda c: (c is None, c or 0)), len(turns), len(convs), text))
+    return sorted(rendered, key=repr)
+
+
+def test_tied_and_null_turns_and_long_texts(spark):
+    long = "x y " * 200_000
+    rows = [
+        (1, None, "user", "first"), (1, None, "system", "zero"), (1, 3, "user", "b"), (1, 3, "user", "a"), (1, 3, None, "a"),
+        (2, None, "system", "zero"), (2, None, "user", "first"),
+        (3, 1, "user", long), (3, 2, "user", None), (4, 1, "user", long),
+        (5, 7, "user", "same"), (6, 900_000, "user", "same"), (6, 900_000, "user", "same"),
+        (None, 1, "user", "of nobody"), (None, None, None, None),
+        (7, None, None, None),
+    ]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string").repartition(3)
+    assert sorted(map(tuple, conversations.collapse_and_render(turns).collect()), key=repr) == plain_chats(rows)
+
+
 def test_nearest_neighbours(spark, monkeypatch):
     monkeypatch.setattr(similarity_search, "QUERIES_PER_BLOCK", 7)
     monkeypatch.setattr(similarity_search, "CANDIDATES_PER_BLOCK", 40)

@@ -95,7 +95,7 @@ def test_odd_documents(spark, expected):
 
 def test_stretches(expected):
     encoder = token_files.StretchEncoder(PATH)
-    assert encoder._space_led
+    assert encoder._splits
     rng = random.Random(1)
     texts = ["".join(rng.choice("ab  \n\t'stre1é漢😀.,-  \x1c\x85\xa0<|endoftext|>") for _ in range(rng.randrange(60))) for _ in range(2000)]
     texts += ["a <|endoftext|> b", "   ", " a", "a ", "x" * 3000, ""]
@@ -104,9 +104,9 @@ def test_stretches(expected):
 
 
 def test_caches_do_not_change_ids(expected, monkeypatch):
-    monkeypatch.setattr(token_files, "CACHED_STRETCHES", 3)
+    monkeypatch.setattr(token_files, "CACHED_CHARS", 9)
     encoder = token_files.StretchEncoder(PATH)
-    for text in ("one two three four", "two three", "one four five", "w" * 100 + " one", "w" * 100):
+    for text in ("one two three four", "two three.\nOne", "one four. five", "w" * 100 + " one", "w" * 100, "one\ntwo, 3\n\nfour don't\n's"):
         assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == expected(text)[:-1]
 
 
