@@ -16,7 +16,7 @@ MOST_SALTS = 32
 def lookup_join(
     big: DataFrame,
     lookup: DataFrame,
-    on: str,
+    on: str | Sequence[str],
     spread_by: Sequence[str],
     how: str = "inner",
     broadcast_bytes: int = BROADCAST_BYTES,
@@ -32,12 +32,13 @@ def lookup_join(
     * A lookup too large even for two copies is joined as it is; adaptive execution
       splits the partitions of hot keys.
     """
+    keys = [on] if isinstance(on, str) else list(on)
     size = staged_bytes(lookup)
     if size <= broadcast_bytes:
-        return big.join(F.broadcast(lookup), on, how)
+        return big.join(F.broadcast(lookup), keys, how)
     salts = min(MOST_SALTS, repeated_bytes // max(size, 1))
     if salts < 2:
-        return big.join(lookup.hint("merge"), on, how)
+        return big.join(lookup.hint("merge"), keys, how)
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
     repeated = lookup.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    return big.withColumn("salt", salt).join(repeated.hint("merge"), [on, "salt"], how).drop("salt")
+    return big.withColumn("salt", salt).join(repeated.hint("merge"), [*keys, "salt"], how).drop("salt")
