@@ -24,7 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.staging import stage
+from ..operators.joins import lookup_join
+from ..operators.staging import stage, stage_lookup
 from .hashing import word_names
 from .shipping import map_batches
 from .tables import free_name, with_fields
@@ -327,5 +328,6 @@ def accepted(docs: DataFrame, labels: DataFrame, learn: Column, text: str = "tex
     name = free_name(docs, "row_hash")
     hashed = docs.withColumn(name, F.xxhash64(key, text))
     scored = classify(hashed, labels, learn, text, key, (key, name), **settings)
-    rejected = stage(scored.where("predicted = 0").select(name).distinct())
-    return hashed.join(rejected, name, "left_anti").drop(name)
+    rejected = stage_lookup(scored.where("predicted = 0").select(name).distinct())
+    # Texts stay where they are as long as the hashes are few enough to be broadcast.
+    return lookup_join(hashed, rejected, name, [name], "left_anti").drop(name)

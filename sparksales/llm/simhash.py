@@ -33,7 +33,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.staging import stage
+from ..operators.joins import lookup_join
+from ..operators.staging import stage, stage_lookup
 from .components import connected_components
 from .shipping import map_batches, map_groups
 from .tables import free_name, with_fields
@@ -260,10 +261,11 @@ def one_of_each(docs: DataFrame, words_each: int = 4, distance: int = 4, text: s
     kept = stage(kept.join(counted, "row_hash"))
     name = free_name(docs, "row_hash")
     hashed = docs.withColumn(name, F.xxhash64(key, text))
-    single = kept.where("copies = 1").select(F.col("row_hash").alias(name))
-    repeated = kept.where("copies > 1").select(F.col("row_hash").alias(name))
+    single = stage_lookup(kept.where("copies = 1").select(F.col("row_hash").alias(name)))
+    repeated = stage_lookup(kept.where("copies > 1").select(F.col("row_hash").alias(name)))
+    # Texts stay where they are as long as the hashes are few enough to be broadcast.
     return (
-        hashed.join(single, name, "left_semi")
-        .unionByName(hashed.join(repeated, name, "left_semi").dropDuplicates([name]))
+        lookup_join(hashed, single, name, [name], "left_semi")
+        .unionByName(lookup_join(hashed, repeated, name, [name], "left_semi").dropDuplicates([name]))
         .drop(name)
     )
