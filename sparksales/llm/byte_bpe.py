@@ -279,11 +279,11 @@ def _decoder(path: str) -> TokenBytes:
     return _decoders[path]
 
 
-def _in_slices(batch: pa.RecordBatch, texts: list) -> Iterator[tuple[pa.RecordBatch, list]]:
+def _in_slices(batch: pa.RecordBatch, texts: list, most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list]]:
     start, size = 0, 0
     for at, text in enumerate(texts):
         size += len(text or "")
-        if size >= SLICE_BYTES:
+        if size >= most:
             yield batch.slice(start, at + 1 - start), texts[start : at + 1]
             start, size = at + 1, 0
     if start < len(texts):

@@ -46,8 +46,9 @@ FIRST = 2000
 NO_LANGUAGE = "und"
 
 BURST = 4096
-MOST_ENTRIES = 600_000
-MOST_NUMBERED = 1_500_000
+MOST_ENTRIES = 300_000
+MOST_NUMBERED = 500_000
+SLICE_CHARS = 1 << 20
 PARTITION_BYTES = 8 << 20
 BITS_EACH = 16
 MOST_BITS = 1 << 27
@@ -254,7 +255,7 @@ def _merge(table: pa.Table) -> pa.Table:
     offsets = pa.py_buffer(np.r_[0, ends])
     phrases = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, offsets, pa.py_buffer(lines)])
     counted = pa.table({"phrase": phrases, "f": unpack(table["counts"], np.int64)})
-    found = counted.group_by("phrase").aggregate([("f", "sum")])
+    found = counted.group_by("phrase", use_threads=False).aggregate([("f", "sum")])  # Spark runs a task per core
     return pa.table({"phrase": pc.binary_slice(found["phrase"].cast(pa.binary()), 0, -1), "f": found["f_sum"]})
 
 
@@ -287,7 +288,7 @@ def count(
                 yield from language.runs(parts, keep * language.size // total)
 
         for batch in batches:
-            for part, texts in _in_slices(batch, batch.column("text").to_pylist()):
+            for part, texts in _in_slices(batch, batch.column("text").to_pylist(), SLICE_CHARS):
                 by_language: dict[str, list[bytes]] = {}
                 for own, text in zip(part.column("lang").to_pylist(), texts):
                     by_language.setdefault(own, []).append(text.encode())
