@@ -61,8 +61,10 @@ _TAIL = struct.Struct("<I8sc")
 _PLAIN = "!-~À-ɏ"
 _ODD_SPACE = re.compile(rf" (?![{_PLAIN}])")
 _SPLIT = re.compile(rf" (?=[{_PLAIN}])")
-CACHED_STRETCHES = 250_000
-LONGEST_CACHED = 64
+_PLAIN_LINES = re.compile(rf" ?[{_PLAIN}]+(?:\n[{_PLAIN}]+)*").fullmatch
+_TAILS = ".,;:!?"
+CACHED_CHARS = 6 << 20
+CHUNK_CHARS = 2000
 
 
 def to_planes(ids: np.ndarray, layout: str) -> list[bytes]:
@@ -189,8 +191,8 @@ class StretchEncoder:
     """Encodes texts with the tokenizers library, each different stretch between spaces once.
 
     With a byte-level split, a space before a character that is no white space always starts a new
-    piece, and nothing looks back. So the stretches that begin at such spaces are encoded
-    by themselves and their ids put behind each other.
+    piece, and so does a line feed between two such characters. So stretches between such spaces are encoded
+    by themselves and their ids put behind each other. The library gets many at once, separated by line feeds.
     """
 
     def __init__(self, path: str):
@@ -200,37 +202,93 @@ class StretchEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         # Whether the tokenizer splits in this way; any other one encodes texts as a whole.
-        split = self.tokenizer.pre_tokenizer.pre_tokenize_str("a  b 'c\n d") if self.tokenizer.pre_tokenizer else []
-        self._space_led = [piece for piece, _ in split] == ["a", "Ġ", "Ġb", "Ġ'", "c", "Ċ", "Ġd"] and not self.tokenizer.normalizer
-        self._known: dict[str, bytes] = {}
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str("a  b 'c\n d\ne") if self.tokenizer.pre_tokenizer else []
+        spelled = ["a", "Ġ", "Ġb", "Ġ'", "c", "Ċ", "Ġd", "Ċ", "e"]
+        self._splits = [piece for piece, _ in split] == spelled and not self.tokenizer.normalizer
+        self._line_feed = self.tokenizer.token_to_id("Ċ")
+        self._tails = dict(zip(_TAILS, self._alone(list(_TAILS))))
+        # Ids of stretches behind a space (kept without it) and of others; the last generation of the former.
+        self._spaced: dict[str, bytes] = {}
+        self._others: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
+        self._held = 0
+
+    def _alone(self, texts: list[str]) -> list[bytes]:
+        return [array("I", found.ids).tobytes() for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _together(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts without white space but a leading space and single line feeds, many of them at once."""
+        chunks, size = [[]], 0
+        for part in parts:
+            if size > CHUNK_CHARS:
+                chunks.append([])
+                size = 0
+            chunks[-1].append(part)
+            size += len(part)
+        found = []
+        for chunk, ids in zip(chunks, self._alone(["\n".join(chunk) for chunk in chunks])):
+            cuts = np.flatnonzero(np.frombuffer(ids, "<u4") == self._line_feed)
+            last = np.cumsum([1 + part.count("\n") for part in chunk]) - 1  # the line feed behind each part
+            if len(cuts) != last[-1]:
+                raise ValueError("the tokenizer does not keep lines apart")
+            ends = (cuts[last[:-1]] * 4).tolist()
+            found += [ids[a:b] for a, b in zip([0, *[end + 4 for end in ends]], [*ends, len(ids)])]
+        return found
 
-    def _encode(self, texts: list[str]) -> Iterator[bytes]:
-        for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            yield array("I", found.ids).tobytes()
+    def _known(self, part: str) -> bytes | None:
+        return self._spaced.get(part[1:]) if part[:1] == " " else self._others.get(part)
+
+    def _learn(self, parts: list[str]) -> None:
+        """Put the ids of every part with the known ones."""
+        plain, odd = [], []
+        for part in parts:
+            (plain if _PLAIN_LINES(part) else odd).append(part)
+        if plain:
+            for part, ids in zip(plain, self._together(plain)):
+                self._keep(part, ids)
+        for part, ids in zip(odd, self._alone(odd)):
+            self._keep(part, ids)
+
+    def _keep(self, part: str, ids: bytes) -> None:
+        self._held += len(part)
+        if part[:1] == " ":
+            self._spaced[part[1:]] = ids
+        else:
+            self._others[part] = ids
 
-    def stretches(self, text: str) -> list[str]:
-        if not self._space_led:
-            return [text]
-        first, *others = text.split(" ") if _ODD_SPACE.search(text) is None else _SPLIT.split(text)
-        return [first, *[" " + other for other in others]]
+    def _make_room(self) -> None:
+        if self._held > CACHED_CHARS:
+            self._old, self._spaced, self._others, self._held = self._spaced, {}, {}, 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as unsigned 32-bit integers."""
-        split = [self.stretches(text) for text in texts]
-        if len(self._known) > CACHED_STRETCHES:
-            self._old, self._known = self._known, {}
-        known = self._known
-        missing = set().union(*split).difference(known)
-        for stretch in missing & self._old.keys():
-            known[stretch] = self._old[stretch]
-        missing = list(missing.difference(known))
-        known.update(zip(missing, self._encode(missing)))
-        found = [b"".join(map(known.__getitem__, stretches)) for stretches in split]
-        for stretch in missing:
-            if len(stretch) > LONGEST_CACHED:
-                del known[stretch]
-        return found
+        if not self._splits:
+            return self._alone(texts)
+        self._make_room()
+        known, rows, missing = self._spaced.get, [], set()
+        for text in texts:
+            words = text.split(" ") if _ODD_SPACE.search(text) is None else _SPLIT.split(text)
+            ids = list(map(known, words))
+            ids[0] = None  # the first one has no space before it
+            gaps = [i for i, own in enumerate(ids) if own is None][1:]
+            missing.update([words[i] for i in gaps])
+            rows.append((words, ids, gaps))
+        for word in missing & self._old.keys():
+            self._keep(" " + word, self._old[word])
+        # A run of letters is a piece by itself, so punctuation behind it is put behind its ids.
+        missing.difference_update(self._spaced)
+        ended = [word for word in missing if word[-1:] in self._tails and word[:-1].isalpha()]
+        missing.difference_update(ended)
+        missing.update([word[:-1] for word in ended if word[:-1] not in self._spaced])
+        new = {" " + word for word in missing}
+        self._learn(list(new | {words[0] for words, _, _ in rows if self._known(words[0]) is None}))
+        for word in ended:
+            self._keep(" " + word, self._spaced[word[:-1]] + self._tails[word[-1]])
+        for words, ids, gaps in rows:
+            ids[0] = self._known(words[0])
+            for i in gaps:
+                ids[i] = self._spaced[words[i]]
+        return [b"".join(ids) for _, ids, _ in rows]
 
 
 _encoders: dict[str, StretchEncoder] = {}
