@@ -7,13 +7,19 @@ rules, so the view grows with the tables.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..operators.staging import staged_bytes
 from ..schema import RAW_COLUMNS, SALES_COLUMNS
 
 # (l_orderkey, l_linenumber) alone repeats in these tables.
 ROW_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "order_date")
 
+# What a task of a join or of a grouping by ``ROW_KEY`` gets of the line items' files.
+TASK_BYTES = 2 << 20
+
 # Size names by p_size modulo 11.
 _SIZES = ("Free", "XS", "S", "M", "L", "XL", "XXL", "3XL", "4XL", "5XL", "6XL")
 
@@ -32,6 +38,18 @@ def _promotions() -> Column:
     return F.concat_ws(", ", F.slice(ids, F.lit(1), F.col("l_linenumber") - 1))
 
 
+def _dealt(df: DataFrame, key: str, lines: DataFrame) -> DataFrame:
+    """``df`` by ``key`` over as many tasks as ``lines`` need; as it is where the session makes that many.
+
+    The other side of a join on ``key`` follows, and so does what is grouped by more than ``key``:
+    tasks grow in number, not in size. Adaptive execution would go by compressed bytes and merge them.
+    """
+    spark = df.sparkSession
+    tasks = math.ceil(staged_bytes(lines) / TASK_BYTES)
+    made = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df if tasks <= made else df.repartition(tasks, key)
+
+
 def sales_from_tables(spark: SparkSession, folder: str, sku: str = "p_partkey") -> DataFrame:
     """Typed sales relation, keyed by ``ROW_KEY``; ``sku`` names the part column used as SKU."""
 
@@ -42,10 +60,10 @@ def sales_from_tables(spark: SparkSession, folder: str, sku: str = "p_partkey")
     # for its own keys. Both sides grow alike, hence a merge join at every scale.
     buyers = table("customer").join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     placed = table("orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+    items = table("lineitem")
     lines = (
-        table("lineitem")
-        .join(placed.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
+        items.join(_dealt(placed, "o_orderkey", items).hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(_dealt(table("part"), "p_partkey", items), F.col("l_partkey") == F.col("p_partkey"))
     )
     flag = F.col("l_returnflag")
     sizes = F.array(*[F.lit(size) for size in _SIZES])

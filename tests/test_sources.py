@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import sparksales as ss
 from sparksales.schema import RAW_COLUMNS
+from sparksales.sources.star_schema import ROW_KEY, sales_from_tables
 
 HEADER = ",".join(RAW_COLUMNS)
 
@@ -151,3 +152,38 @@ def test_empty_single_file_has_a_header(spark, tmp_path):
 def test_unknown_format(spark, tmp_path):
     with pytest.raises(ValueError, match="unknown format"):
         ss.write_result(spark.range(1), str(tmp_path / "out"), "orc")
+
+
+def test_tasks_of_the_star_schema_grow_in_number(spark, tmp_path):
+    lines = 400_000
+    noise = [F.rand(i).alias(name) for i, name in enumerate(("l_quantity", "l_extendedprice", "l_discount", "l_tax"))]
+    tables = {
+        "nation": spark.range(5).select(F.col("id").alias("n_nationkey"), F.format_string("N%d", "id").alias("n_name")),
+        "customer": spark.range(100).select(
+            F.col("id").alias("c_custkey"), (F.col("id") % 5).alias("c_nationkey"), F.lit("M").alias("c_mktsegment")
+        ),
+        "part": spark.range(50).select(
+            F.col("id").alias("p_partkey"), F.lit("a b").alias("p_name"), F.lit("B").alias("p_brand"),
+            F.lit("T").alias("p_type"), F.lit(3).alias("p_size"),
+        ),
+        "orders": spark.range(lines // 4).select(
+            F.col("id").alias("o_orderkey"), (F.col("id") % 100).alias("o_custkey"), F.lit("5-LOW").alias("o_orderpriority")
+        ),
+        "lineitem": spark.range(lines).select(
+            (F.col("id") % (lines // 4)).alias("l_orderkey"), (F.col("id") % 50).alias("l_partkey"),
+            F.col("id").alias("l_suppkey"), (F.col("id") % 4 + 1).cast("int").alias("l_linenumber"), *noise,
+            F.lit("R").alias("l_returnflag"), F.lit("F").alias("l_linestatus"),
+            F.timestamp_seconds(F.col("id") % 3 * 86400).alias("l_shipdate"),
+        ),
+    }
+    for name, table in tables.items():
+        table.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet", compression="none")
+    sales = sales_from_tables(spark, str(tmp_path))
+    counts = ss.valid_promotion_counts(sales, row_key=ROW_KEY)
+    found = counts.withColumn("task", F.spark_partition_id()).groupBy("task").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("valid_promotion_count").alias("ids")
+    ).collect()
+    # Brand and both words; the first line of an order has no id, the next ones one, two and three.
+    assert sum(row["rows"] for row in found) == lines and sum(row["ids"] for row in found) == lines // 4 * 6
+    size = sum(file.stat().st_size for file in (tmp_path / "lineitem.parquet").glob("*.parquet"))
+    assert max(row["rows"] for row in found) < 1.5 * lines * (2 << 20) / size
