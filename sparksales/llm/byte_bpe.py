@@ -17,8 +17,10 @@ the table, whatever their names, are not looked at.
 from __future__ import annotations
 
 import base64
-import struct
+import gc
+from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import ahocorasick
 import numpy as np
@@ -61,6 +63,7 @@ class PrefixEncoder:
         self._sizes = {rank: len(token) for token, rank in ranks.items()}
         self._pairs: dict[int, bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
+        self._edges: tuple[dict[int, list[int]], dict[int, list[int]]] = ({}, {})
         self._endings = ahocorasick.Automaton()
         for token, rank in ranks.items():
             self._endings.add_word(token.decode("latin-1"), (rank, len(token)))
@@ -81,10 +84,13 @@ class PrefixEncoder:
 
     def _edge(self, token: int, side: int) -> list[int]:
         """The tokens that stand at one end of ``token`` while it grows, from a byte to itself."""
-        found = [token]
-        while (halves := self.halves(found[-1])) is not None:
-            found.append(halves[side])
-        return found[::-1]
+        known = self._edges[side].get(token)
+        if known is None:
+            found = [token]
+            while (halves := self.halves(found[-1])) is not None:
+                found.append(halves[side])
+            known = self._edges[side][token] = found[::-1]
+        return known
 
     def made_by_merges(self, token: int) -> bool:
         return len(self.tokens[token]) == 1 or self.halves(token) is not None
@@ -95,12 +101,13 @@ class PrefixEncoder:
         if before < 0:
             return True
         left, right = self._edge(before, 1), self._edge(last, 0)
+        tokens, rank_of = self.tokens, self.ranks.get
         i = j = 0
         while True:
             # Merges go by rank, equal ones from left to right: would one join the two first?
             grow_left = left[i + 1] if i + 1 < len(left) else _NONE
             grow_right = right[j + 1] if j + 1 < len(right) else _NONE
-            joined = self.ranks.get(self.tokens[left[i]] + self.tokens[right[j]], _NONE)
+            joined = rank_of(tokens[left[i]] + tokens[right[j]], _NONE)
             if joined < grow_left and joined <= grow_right and joined != _NONE:
                 return False
             if grow_left == grow_right == _NONE:
@@ -137,13 +144,26 @@ class PrefixEncoder:
         if have < (len(data) if until is None else until):
             raise ValueError("the ranks do not hold every single byte")
 
+    def _lasts(self, data: bytes) -> list[int]:
+        """What ``extend`` adds to an empty list."""
+        lasts: list[int] = []
+        append, known, at_next = lasts.append, self._pairs.get, 0
+        for at, (token, size) in self._endings.iter(data.decode("latin-1")):
+            if at == at_next:
+                before = lasts[at - size] if at >= size else -1
+                valid = known(before * _PAIR + token)
+                if self.stays(before, token) if valid is None else valid:
+                    append(token)
+                    at_next += 1
+        if at_next < len(data):
+            raise ValueError("the ranks do not hold every single byte")
+        return lasts
+
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        lasts: list[int] = []
-        self.extend(lasts, piece)
-        return self.read_back(lasts, len(piece))
+        return self.read_back(self._lasts(piece), len(piece))
 
     def read_back(self, lasts: list[int], at: int) -> list[int]:
         """Tokens of the first ``at`` bytes, from the last one back."""
@@ -189,7 +209,7 @@ class PrefixTable:
 
 
 def _as_bytes(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return array("I", ids).tobytes()
 
 
 class _Cached(dict):
@@ -222,19 +242,22 @@ class TextEncoder:
         self._space_led = pattern == SPACE_LED
         self._piece = _Cached(self._encode_piece)
         self._stretch = _Cached(self._encode_stretch)
+        # The stretches behind a space, kept without it.
+        self._spaced = _Cached(self._encode_spaced)
 
     def _encode_piece(self, piece: str) -> bytes:
         return _as_bytes(self.encoder.encode(piece.encode()))
 
     def _encode_stretch(self, stretch: str) -> bytes:
-        if self._space_led:
-            word = stretch[1:] if stretch[0] == " " else stretch
-            if word.isalpha():
-                return self._encode_piece(stretch)
-            if word[-1:] in _TAILS and word[:-1].isalpha():
-                return self._stretch[stretch[:-1]] + self._piece[word[-1]]
         return b"".join([self._piece[piece] for piece in self._pieces_of(stretch)])
 
+    def _encode_spaced(self, word: str) -> bytes:
+        if word.isalpha():
+            return self._encode_piece(" " + word)
+        if word[-1:] in _TAILS and word[:-1].isalpha():
+            return self._spaced[word[:-1]] + self._piece[word[-1]]
+        return self._encode_stretch(" " + word)
+
     def _odd_spaces(self, text: str) -> bool:
         """Whether some space may not start a new match."""
         if text.isascii() and text.replace("\n", "").isprintable():
@@ -248,8 +271,7 @@ class TextEncoder:
         if not self._space_led or self._odd_spaces(text):
             return b"".join([self._piece[piece] for piece in self._pieces_of(text)])
         first, *others = text.split(" ")
-        known = self._stretch
-        return known[first] + b"".join([known[" " + stretch] for stretch in others])
+        return self._stretch[first] + b"".join(map(self._spaced.__getitem__, others))
 
 
 class TokenBytes:
@@ -279,6 +301,18 @@ def _decoder(path: str) -> TokenBytes:
     return _decoders[path]
 
 
+@contextmanager
+def collector_paused() -> Iterator[None]:
+    """Without the cyclic collector, which would walk long lists of words again and again; they hold no cycles."""
+    enabled = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if enabled:
+            gc.enable()
+
+
 def _in_slices(batch: pa.RecordBatch, texts: list, most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list]]:
     start, size = 0, 0
     for at, text in enumerate(texts):
@@ -311,10 +345,11 @@ def encode(
         encoder, decode = _encoder(ranks_path, pattern), _decoder(ranks_path).decode
         for batch in batches:
             for part, texts in _in_slices(batch, batch.column("_text").to_pylist()):
-                ids = [encoder.encode(t or "") for t in texts]
-                columns = [pa.array(ids, pa.binary())]
-                if decoded:
-                    columns.append(pa.array(map(decode, ids), pa.binary()))
+                with collector_paused():
+                    ids = [encoder.encode(t or "") for t in texts]
+                    columns = [pa.array(ids, pa.binary())]
+                    if decoded:
+                        columns.append(pa.array(map(decode, ids), pa.binary()))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *columns], [*keep, *added])
 
     return map_batches(kept, run, schema)

@@ -92,6 +92,16 @@ def test_small_caches_change_nothing(ranks, expected, monkeypatch):
     assert encoder._piece.held < 2100 and encoder._stretch.held < 2100
 
 
+def test_what_stands_at_a_tokens_ends_is_worked_out_once(ranks, monkeypatch):
+    encoder = byte_bpe.PrefixEncoder(ranks)
+    asked, halves = [], encoder.halves
+    monkeypatch.setattr(encoder, "halves", lambda token: asked.append(token) or halves(token))
+    first = [list(encoder._edge(ranks[b" the"], side)) for side in (0, 1)]
+    count = len(asked)
+    assert count and [list(encoder._edge(ranks[b" the"], side)) for side in (0, 1)] == first
+    assert len(asked) == count
+
+
 def test_decoding_beside_a_column_of_that_name(spark):
     rows = [(1, bytearray(b"\x00\x00\x00\x00"), "x"), (2, None, None)]
     encoded = spark.createDataFrame(rows, "doc_id int, token_ids binary, decoded string")
