@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..operators.joins import lookup_join
 from ..operators.staging import hadoop_path, stage_lookup
-from .byte_bpe import _in_slices
+from .byte_bpe import _in_slices, collector_paused
 from .shipping import map_batches
 from .tables import with_fields
 
@@ -228,7 +228,8 @@ class StretchEncoder:
         found = []
         for chunk, ids in zip(chunks, self._alone(["\n".join(chunk) for chunk in chunks])):
             cuts = np.flatnonzero(np.frombuffer(ids, "<u4") == self._line_feed)
-            last = np.cumsum([1 + part.count("\n") for part in chunk]) - 1  # the line feed behind each part
+            inside = [part.count("\n") for part in chunk] if len(cuts) >= len(chunk) else [0] * len(chunk)
+            last = np.cumsum(inside) + np.arange(len(chunk))  # the line feed behind each part
             if len(cuts) != last[-1]:
                 raise ValueError("the tokenizer does not keep lines apart")
             ends = (cuts[last[:-1]] * 4).tolist()
@@ -244,8 +245,13 @@ class StretchEncoder:
         for part in parts:
             (plain if _PLAIN_LINES(part) else odd).append(part)
         if plain:
+            spaced, others = self._spaced, self._others
             for part, ids in zip(plain, self._together(plain)):
-                self._keep(part, ids)
+                if part[0] == " ":
+                    spaced[part[1:]] = ids
+                else:
+                    others[part] = ids
+            self._held += sum(map(len, plain))
         for part, ids in zip(odd, self._alone(odd)):
             self._keep(part, ids)
 
@@ -264,6 +270,10 @@ class StretchEncoder:
         """Ids of every text as unsigned 32-bit integers."""
         if not self._splits:
             return self._alone(texts)
+        with collector_paused():
+            return self._encode(texts)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         self._make_room()
         known, rows, missing = self._spaced.get, [], set()
         for text in texts:
@@ -273,21 +283,25 @@ class StretchEncoder:
             gaps = [i for i, own in enumerate(ids) if own is None][1:]
             missing.update([words[i] for i in gaps])
             rows.append((words, ids, gaps))
-        for word in missing & self._old.keys():
-            self._keep(" " + word, self._old[word])
+        spaced, old, tails = self._spaced, self._old, self._tails
+        again = missing & old.keys()
+        spaced.update(zip(again, map(old.__getitem__, again)))
+        missing -= again
         # A run of letters is a piece by itself, so punctuation behind it is put behind its ids.
-        missing.difference_update(self._spaced)
-        ended = [word for word in missing if word[-1:] in self._tails and word[:-1].isalpha()]
+        ended = [word for word in missing if not word.isalpha() and word[-1:] in tails and word[:-1].isalpha()]
         missing.difference_update(ended)
-        missing.update([word[:-1] for word in ended if word[:-1] not in self._spaced])
+        stems = [word[:-1] for word in ended]
+        missing.update([stem for stem in stems if stem not in spaced])
         new = {" " + word for word in missing}
         self._learn(list(new | {words[0] for words, _, _ in rows if self._known(words[0]) is None}))
-        for word in ended:
-            self._keep(" " + word, self._spaced[word[:-1]] + self._tails[word[-1]])
+        for word, stem in zip(ended, stems):
+            spaced[word] = spaced[stem] + tails[word[-1]]
+        # What _learn keeps it counts itself.
+        self._held += sum(map(len, again)) + sum(map(len, ended)) + len(again) + len(ended)
         for words, ids, gaps in rows:
             ids[0] = self._known(words[0])
             for i in gaps:
-                ids[i] = self._spaced[words[i]]
+                ids[i] = spaced[words[i]]
         return [b"".join(ids) for _, ids, _ in rows]
 
 

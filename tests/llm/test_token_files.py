@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import random
 import zlib
 
@@ -115,3 +116,16 @@ def test_empty_table(spark):
     token_files.write_tokens(odd_documents(spark).limit(0), folder, PATH, end_id=2)
     assert token_files.read_tokens(spark, folder).count() == 0
     assert len(token_files.read_range(spark, folder, 0, 10)) == 0
+
+
+def test_no_collections_while_texts_are_encoded():
+    encoder = token_files.StretchEncoder(PATH)
+    texts = [" ".join(f"w{i}x{j}." for j in range(300)) for i in range(100)]
+    runs = []
+    gc.callbacks.append(count := lambda phase, info: runs.append(phase))
+    try:
+        found = encoder.encode(texts)
+    finally:
+        gc.callbacks.remove(count)
+    assert not runs and gc.isenabled()
+    assert found == [encoder._alone([text])[0] for text in texts]
