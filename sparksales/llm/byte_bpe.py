@@ -25,6 +25,7 @@ from contextlib import contextmanager
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -36,7 +37,6 @@ CACHED_BYTES = 20 << 20  # a generation of a cache, with what Python adds to eac
 ENTRY_BYTES = 220
 CACHED_PAIRS = 300_000
 _NONE = 1 << 60
-_PAIR = 1 << 24
 _TAILS = frozenset(".,;:!?")
 
 # With this pattern a single space between two characters that are no white space always
@@ -61,12 +61,16 @@ class PrefixEncoder:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         self._sizes = {rank: len(token) for token, rank in ranks.items()}
-        self._pairs: dict[int, bool] = {}
+        # For every token, those before it that are known to stay or not; the filled ones of these, and their pairs.
+        self._pairs: dict[int, dict[int, bool]] = {rank: {} for rank in ranks.values()}
+        self._filled: list[dict[int, bool]] = []
+        self._known = 0
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._edges: tuple[dict[int, list[int]], dict[int, list[int]]] = ({}, {})
+        self._spelled: tuple[dict[int, list[bytes]], dict[int, list[bytes]]] = ({}, {})
         self._endings = ahocorasick.Automaton()
         for token, rank in ranks.items():
-            self._endings.add_word(token.decode("latin-1"), (rank, len(token)))
+            self._endings.add_word(token.decode("latin-1"), (rank, len(token), self._pairs[rank]))
         self._endings.make_automaton()
 
     def halves(self, token: int) -> tuple[int, int] | None:
@@ -92,6 +96,13 @@ class PrefixEncoder:
             known = self._edges[side][token] = found[::-1]
         return known
 
+    def _spell(self, token: int, side: int) -> list[bytes]:
+        """The bytes of ``_edge``'s tokens."""
+        known = self._spelled[side].get(token)
+        if known is None:
+            known = self._spelled[side][token] = [self.tokens[part] for part in self._edge(token, side)]
+        return known
+
     def made_by_merges(self, token: int) -> bool:
         return len(self.tokens[token]) == 1 or self.halves(token) is not None
 
@@ -101,13 +112,14 @@ class PrefixEncoder:
         if before < 0:
             return True
         left, right = self._edge(before, 1), self._edge(last, 0)
-        tokens, rank_of = self.tokens, self.ranks.get
+        ends, starts, rank_of = self._spell(before, 1), self._spell(last, 0), self.ranks.get
+        lefts, rights = len(left) - 1, len(right) - 1
         i = j = 0
         while True:
             # Merges go by rank, equal ones from left to right: would one join the two first?
-            grow_left = left[i + 1] if i + 1 < len(left) else _NONE
-            grow_right = right[j + 1] if j + 1 < len(right) else _NONE
-            joined = rank_of(tokens[left[i]] + tokens[right[j]], _NONE)
+            grow_left = left[i + 1] if i < lefts else _NONE
+            grow_right = right[j + 1] if j < rights else _NONE
+            joined = rank_of(ends[i] + starts[j], _NONE)
             if joined < grow_left and joined <= grow_right and joined != _NONE:
                 return False
             if grow_left == grow_right == _NONE:
@@ -119,51 +131,60 @@ class PrefixEncoder:
 
     def stays(self, before: int, last: int) -> bool:
         """Whether the merges leave the pair of tokens as it is. before < 0: none."""
-        key = before * _PAIR + last
-        known = self._pairs.get(key)
+        seen = self._pairs[last]
+        known = seen.get(before)
         if known is None:
-            if len(self._pairs) >= CACHED_PAIRS:
-                self._pairs.clear()
-            known = self._pairs[key] = self._stays(before, last)
+            if self._known >= CACHED_PAIRS:
+                for found in self._filled:
+                    found.clear()
+                self._filled, self._known = [], 0
+            if not seen:
+                self._filled.append(seen)
+            known = seen[before] = self._stays(before, last)
+            self._known += 1
         return known
 
     def extend(self, lasts: list[int], data: bytes, until: int | None = None) -> None:
         """Add to ``lasts`` the last tokens of the prefixes of ``data`` that it does not have yet."""
         have = len(lasts)
         from_ = max(0, have - self.longest)
-        known = self._pairs.get
         # All tokens that end at a position, the longest first.
-        for at, (token, size) in self._endings.iter(data[from_:until].decode("latin-1")):
+        for at, (token, size, seen) in self._endings.iter(data[from_:until].decode("latin-1")):
             end = from_ + at + 1
             if end > have:
                 before = lasts[end - size - 1] if end > size else -1
-                valid = known(before * _PAIR + token)
+                valid = seen.get(before)
                 if self.stays(before, token) if valid is None else valid:
                     lasts.append(token)
                     have = end
         if have < (len(data) if until is None else until):
             raise ValueError("the ranks do not hold every single byte")
 
-    def _lasts(self, data: bytes) -> list[int]:
-        """What ``extend`` adds to an empty list."""
-        lasts: list[int] = []
-        append, known, at_next = lasts.append, self._pairs.get, 0
-        for at, (token, size) in self._endings.iter(data.decode("latin-1")):
-            if at == at_next:
-                before = lasts[at - size] if at >= size else -1
-                valid = known(before * _PAIR + token)
-                if self.stays(before, token) if valid is None else valid:
-                    append(token)
-                    at_next += 1
-        if at_next < len(data):
-            raise ValueError("the ranks do not hold every single byte")
-        return lasts
-
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        return self.read_back(self._lasts(piece), len(piece))
+        # As ``extend`` does, with the entry of the empty prefix in front.
+        lasts, at_next, stays = [-1], 0, self.stays
+        append = lasts.append
+        for at, (token, size, seen) in self._endings.iter(piece.decode("latin-1")):
+            if at == at_next:
+                before = lasts[at + 1 - size]
+                valid = seen.get(before)
+                if valid is None:
+                    valid = stays(before, token)
+                if valid:
+                    append(token)
+                    at_next += 1
+        if at_next < len(piece):
+            raise ValueError("the ranks do not hold every single byte")
+        found, sizes = [], self._sizes
+        while at_next:
+            token = lasts[at_next]
+            found.append(token)
+            at_next -= sizes[token]
+        found.reverse()
+        return found
 
     def read_back(self, lasts: list[int], at: int) -> list[int]:
         """Tokens of the first ``at`` bytes, from the last one back."""
@@ -277,12 +298,24 @@ class TextEncoder:
 class TokenBytes:
     """The bytes that ids stand for: all a decoder needs."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.tokens = {rank: token for token, rank in ranks.items()}
+    def __init__(self, tokens: dict[int, bytes]):
+        self.tokens = tokens
+        self._by_id = pa.array(map(self.tokens.get, range(max(self.tokens) + 1)), pa.large_binary())
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
+    def decode_rows(self, ids: list[bytes]) -> pa.Array:
+        """The bytes of every row of ids."""
+        joined = np.frombuffer(b"".join(ids), "<u4")
+        tokens = self._by_id.take(pa.array(joined))
+        if tokens.null_count:
+            raise KeyError("an id that no token has")
+        starts = np.cumsum([0, *(len(row) // 4 for row in ids)])
+        _, ends, data = tokens.buffers()
+        at = np.frombuffer(ends, np.int64, len(joined) + 1) if len(joined) else np.zeros(1, np.int64)
+        return pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(at[starts]), data]).cast(pa.binary())
+
 
 _encoders: dict[tuple[str, str], TextEncoder] = {}
 _decoders: dict[str, TokenBytes] = {}
@@ -295,9 +328,11 @@ def _encoder(path: str, pattern: str) -> TextEncoder:
     return _encoders[key]
 
 
-def _decoder(path: str) -> TokenBytes:
+def _decoder(path: str, encoder: TextEncoder | None = None) -> TokenBytes:
+    if path not in _decoders and encoder is not None:
+        _decoders[path] = TokenBytes(encoder.encoder.tokens)
     if path not in _decoders:
-        _decoders[path] = TokenBytes(load_ranks(path))
+        _decoders[path] = TokenBytes({rank: token for token, rank in load_ranks(path).items()})
     return _decoders[path]
 
 
@@ -324,6 +359,17 @@ def _in_slices(batch: pa.RecordBatch, texts: list, most: int = SLICE_BYTES) -> I
         yield batch.slice(start), texts[start:]
 
 
+def byte_slices(batch: pa.RecordBatch, name: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows in parts of about ``most`` bytes of text, so that a caller need not make Python objects of all."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0)
+    ends, start = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    while start < batch.num_rows:
+        done = int(ends[start - 1]) if start else 0
+        stop = min(int(np.searchsorted(ends, done + most)) + 1, batch.num_rows)
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def encode(
     docs: DataFrame,
     ranks_path: str,
@@ -342,14 +388,15 @@ def encode(
     schema = with_fields(docs.select(*keep).schema, ", ".join(f"{name} binary" for name in added))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decode = _encoder(ranks_path, pattern), _decoder(ranks_path).decode
+        encoder = _encoder(ranks_path, pattern)
+        decode_rows = _decoder(ranks_path, encoder).decode_rows
         for batch in batches:
-            for part, texts in _in_slices(batch, batch.column("_text").to_pylist()):
+            for part in byte_slices(batch, "_text"):
                 with collector_paused():
-                    ids = [encoder.encode(t or "") for t in texts]
+                    ids = [encoder.encode(t or "") for t in part.column("_text").to_pylist()]
                     columns = [pa.array(ids, pa.binary())]
                     if decoded:
-                        columns.append(pa.array(map(decode, ids), pa.binary()))
+                        columns.append(decode_rows(ids))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *columns], [*keep, *added])
 
     return map_batches(kept, run, schema)

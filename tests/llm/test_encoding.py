@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -113,3 +114,27 @@ def test_decoding_beside_a_column_of_that_name(spark):
 def test_empty_table(spark):
     docs = odd_documents(spark).limit(0)
     assert byte_bpe.encode(docs, PATH, PATTERN).count() == 0
+
+
+def test_rows_are_decoded_together(ranks, expected):
+    tokens = {rank: token for token, rank in ranks.items()}
+    texts = ["", "one two", "é漢😀", "", "  \n x"]
+    rows = [np.array(expected(text), "<u4").tobytes() for text in texts]
+    decoder = byte_bpe.TokenBytes(tokens)
+    for some in (rows, [], [b""]):
+        found = decoder.decode_rows(some)
+        assert found.type == pa.binary()
+        assert found.to_pylist() == [decoder.decode(row) for row in some]
+    assert [row.decode() for row in decoder.decode_rows(rows).to_pylist()] == texts
+    with pytest.raises(KeyError):
+        byte_bpe.TokenBytes({0: b"a", 2: b"b"}).decode_rows([np.array([1], "<u4").tobytes()])
+
+
+def test_parts_of_a_batch_are_bounded_and_whole():
+    texts = [None, "é" * 30, "", "b" * 500, *["c" * 10] * 40, None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["n", "t"])
+    for some in (batch, batch.slice(3, 20), batch.slice(0, 0)):
+        parts = list(byte_bpe.byte_slices(some, "t", 100))
+        assert [row for part in parts for row in part.to_pylist()] == some.to_pylist()
+        assert all(sum(len(t or "") for t in part["t"].to_pylist()[:-1]) < 100 for part in parts)
+        assert len(parts) < 12
