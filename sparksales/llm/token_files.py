@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..operators.joins import lookup_join
 from ..operators.staging import hadoop_path, stage_lookup
-from .byte_bpe import _in_slices, collector_paused
+from .byte_bpe import byte_slices, collector_paused
 from .shipping import map_batches
 from .tables import with_fields
 
@@ -61,10 +61,11 @@ _TAIL = struct.Struct("<I8sc")
 _PLAIN = "!-~À-ɏ"
 _ODD_SPACE = re.compile(rf" (?![{_PLAIN}])")
 _SPLIT = re.compile(rf" (?=[{_PLAIN}])")
-_PLAIN_LINES = re.compile(rf" ?[{_PLAIN}]+(?:\n[{_PLAIN}]+)*").fullmatch
+# Parts that are sure to be kept apart by a line feed between them; several such parts make another one.
+_PLAIN_LINES = re.compile(rf" ?[{_PLAIN}]+(?:\n ?[{_PLAIN}]+)*").fullmatch
 _TAILS = ".,;:!?"
 CACHED_CHARS = 6 << 20
-CHUNK_CHARS = 2000
+CHUNK_PARTS = 256
 
 
 def to_planes(ids: np.ndarray, layout: str) -> list[bytes]:
@@ -216,51 +217,37 @@ class StretchEncoder:
     def _alone(self, texts: list[str]) -> list[bytes]:
         return [array("I", found.ids).tobytes() for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _together(self, parts: list[str]) -> list[bytes]:
-        """Ids of parts without white space but a leading space and single line feeds, many of them at once."""
-        chunks, size = [[]], 0
-        for part in parts:
-            if size > CHUNK_CHARS:
-                chunks.append([])
-                size = 0
-            chunks[-1].append(part)
-            size += len(part)
+    def _together(self, chunks: list[tuple[list[str], str]]) -> list[bytes]:
+        """Ids of the parts of all chunks, each given with its parts put on lines."""
         found = []
-        for chunk, ids in zip(chunks, self._alone(["\n".join(chunk) for chunk in chunks])):
+        for (parts, _), ids in zip(chunks, self._alone([lines for _, lines in chunks])):
             cuts = np.flatnonzero(np.frombuffer(ids, "<u4") == self._line_feed)
-            inside = [part.count("\n") for part in chunk] if len(cuts) >= len(chunk) else [0] * len(chunk)
-            last = np.cumsum(inside) + np.arange(len(chunk))  # the line feed behind each part
-            if len(cuts) != last[-1]:
+            if len(cuts) >= len(parts):  # some parts hold line feeds themselves
+                inside = np.cumsum([part.count("\n") for part in parts]) + np.arange(len(parts))
+                if len(cuts) != inside[-1]:
+                    raise ValueError("the tokenizer does not keep lines apart")
+                cuts = cuts[inside[:-1]]  # the line feed behind each part
+            elif len(cuts) < len(parts) - 1:
                 raise ValueError("the tokenizer does not keep lines apart")
-            ends = (cuts[last[:-1]] * 4).tolist()
+            ends = (cuts * 4).tolist()
             found += [ids[a:b] for a, b in zip([0, *[end + 4 for end in ends]], [*ends, len(ids)])]
         return found
 
-    def _known(self, part: str) -> bytes | None:
-        return self._spaced.get(part[1:]) if part[:1] == " " else self._others.get(part)
-
-    def _learn(self, parts: list[str]) -> None:
-        """Put the ids of every part with the known ones."""
-        plain, odd = [], []
-        for part in parts:
-            (plain if _PLAIN_LINES(part) else odd).append(part)
-        if plain:
-            spaced, others = self._spaced, self._others
-            for part, ids in zip(plain, self._together(plain)):
-                if part[0] == " ":
-                    spaced[part[1:]] = ids
-                else:
-                    others[part] = ids
-            self._held += sum(map(len, plain))
-        for part, ids in zip(odd, self._alone(odd)):
-            self._keep(part, ids)
-
-    def _keep(self, part: str, ids: bytes) -> None:
-        self._held += len(part)
-        if part[:1] == " ":
-            self._spaced[part[1:]] = ids
-        else:
-            self._others[part] = ids
+    def _learn(self, parts: list[str], space: str, known: dict[str, bytes]) -> None:
+        """Put the ids of every part, with ``space`` before it, with the known ones."""
+        chunks, odd, between = [], [], "\n" + space
+        for at in range(0, len(parts), CHUNK_PARTS):
+            chunk = parts[at : at + CHUNK_PARTS]
+            lines = space + between.join(chunk)
+            if not _PLAIN_LINES(lines):
+                plain = [part for part in chunk if _PLAIN_LINES(space + part)]
+                odd += [part for part in chunk if not _PLAIN_LINES(space + part)]
+                chunk, lines = plain, space + between.join(plain)
+            if chunk:
+                chunks.append((chunk, lines))
+        known.update(zip([part for chunk, _ in chunks for part in chunk], self._together(chunks)))
+        known.update(zip(odd, self._alone([space + part for part in odd])))
+        self._held += sum(map(len, parts)) + len(space) * len(parts)
 
     def _make_room(self) -> None:
         if self._held > CACHED_CHARS:
@@ -292,14 +279,15 @@ class StretchEncoder:
         missing.difference_update(ended)
         stems = [word[:-1] for word in ended]
         missing.update([stem for stem in stems if stem not in spaced])
-        new = {" " + word for word in missing}
-        self._learn(list(new | {words[0] for words, _, _ in rows if self._known(words[0]) is None}))
+        self._learn(list(missing), " ", spaced)
+        others = self._others
+        self._learn(list({words[0] for words, _, _ in rows}.difference(others)), "", others)
         for word, stem in zip(ended, stems):
             spaced[word] = spaced[stem] + tails[word[-1]]
         # What _learn keeps it counts itself.
         self._held += sum(map(len, again)) + sum(map(len, ended)) + len(again) + len(ended)
         for words, ids, gaps in rows:
-            ids[0] = self._known(words[0])
+            ids[0] = others[words[0]]
             for i in gaps:
                 ids[i] = spaced[words[i]]
         return [b"".join(ids) for _, ids, _ in rows]
@@ -349,8 +337,8 @@ def write_tokens(
             return pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], ["record"])
 
         for batch in batches:
-            for part, texts in _in_slices(batch, batch.column("text").to_pylist()):
-                keys = part.column("key").to_pylist()
+            for part in byte_slices(batch, "text"):
+                keys, texts = part.column("key").to_pylist(), part.column("text").to_pylist()
                 records = [r for k, ids in zip(keys, encoder.encode(texts)) for r in writer.add(k, ids + end)]
                 if records:
                     yield as_batch(records)

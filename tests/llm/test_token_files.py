@@ -129,3 +129,13 @@ def test_no_collections_while_texts_are_encoded():
         gc.callbacks.remove(count)
     assert not runs and gc.isenabled()
     assert found == [encoder._alone([text])[0] for text in texts]
+
+
+def test_plain_parts_are_looked_at_many_at_a_time(expected, monkeypatch):
+    looks, plain = [], token_files._PLAIN_LINES
+    monkeypatch.setattr(token_files, "_PLAIN_LINES", lambda part: looks.append(part) or plain(part))
+    encoder = token_files.StretchEncoder(PATH)
+    texts = [f"one\ntwo{i} " + " ".join(f"w{i}x{j}" for j in range(100)) for i in range(40)]
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == expected(text)[:-1]
+    assert len(looks) < 40
