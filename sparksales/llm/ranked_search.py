@@ -39,6 +39,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.staging import stage
 from .blocks import ranges, unpack
+from .byte_bpe import byte_slices
 from .hashing import mix
 from .shipping import map_batches
 from .tables import with_fields
@@ -82,12 +83,12 @@ def _query_terms(items: DataFrame, text: str, key: str) -> DataFrame:
     return map_batches(chosen, run, schema).distinct()
 
 
-def _shard(keys: list, lengths: list[int], found: list[list[int]], totals: tuple[int, int]) -> pa.RecordBatch:
+def _shard(keys: list, lengths: list[int], found: list[np.ndarray], totals: tuple[int, int]) -> pa.RecordBatch:
     """One row: the documents that hold a term of the vocabulary, and their terms with counts."""
-    kept = [i for i, terms in enumerate(found) if terms]
+    kept = [i for i, terms in enumerate(found) if len(terms)]
     sizes, terms, counts = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for i in kept:
-        own, times = np.unique(np.array(found[i], np.int64), return_counts=True)
+        own, times = np.unique(found[i], return_counts=True)
         sizes.append(len(own))
         terms.append(own)
         counts.append(times)
@@ -113,16 +114,18 @@ def index(docs: DataFrame, vocabulary: dict[bytes, int], text: str = "text", key
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, lengths, found, n_docs, size = [], [], [], 0, 0
         for batch in batches:
-            for key, text in zip(batch.column("key").to_pylist(), _as_bytes(batch.column("text"))):
-                terms = terms_of(text)
-                keys.append(key)
-                lengths.append(len(terms))
-                found.append(list(map(vocabulary.__getitem__, filter(vocabulary.__contains__, terms))))
-                n_docs += bool(terms)
-                size += len(text)
-                if len(keys) >= SHARD_DOCS or size >= SHARD_BYTES:
-                    yield _shard(keys, lengths, found, (n_docs, sum(lengths)))
-                    keys, lengths, found, n_docs, size = [], [], [], 0, 0
+            for part in byte_slices(batch, "text"):
+                for key, text in zip(part.column("key").to_pylist(), _as_bytes(part.column("text"))):
+                    terms = terms_of(text)
+                    keys.append(key)
+                    lengths.append(len(terms))
+                    own = list(map(vocabulary.__getitem__, filter(vocabulary.__contains__, terms)))
+                    found.append(np.array(own, np.int32))
+                    n_docs += bool(terms)
+                    size += len(text)
+                    if len(keys) >= SHARD_DOCS or size >= SHARD_BYTES:
+                        yield _shard(keys, lengths, found, (n_docs, sum(lengths)))
+                        keys, lengths, found, n_docs, size = [], [], [], 0, 0
         if keys:
             yield _shard(keys, lengths, found, (n_docs, sum(lengths)))
 
@@ -290,6 +293,15 @@ class Shard:
         return scored
 
 
+def shards_of(batches: Iterator[pa.RecordBatch], weights: np.ndarray, documents: int, terms: int) -> Iterator[Shard]:
+    """The shards of all rows. A caller that lets go of each holds one at a time."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            row = batch.slice(at, 1).to_pylist()[0]
+            if row["keys"]:
+                yield Shard(row, weights, documents, terms)
+
+
 def _search_block(docs: DataFrame, queries: pa.Table, schema: StructType, k: int, text: str, key: str) -> DataFrame:
     """``schema``: (item, key, score) of the best of every task, for one block of queries."""
     names = queries["term"].to_pylist()
@@ -308,15 +320,12 @@ def _search_block(docs: DataFrame, queries: pa.Table, schema: StructType, k: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best, own = [Best(k) for _ in asked], np.zeros(len(weights), np.int64)
-        for batch in batches:
-            for row in batch.to_pylist():
-                if not row["keys"]:
-                    continue
-                shard = Shard(row, weights, documents, terms)
-                for query, found in zip(asked, best):
-                    own[query] = weights[query]
-                    shard.search(query[shard.largest[query] > 0], own, found)
-                    own[query] = 0
+        for shard in shards_of(batches, weights, documents, terms):
+            for query, found in zip(asked, best):
+                own[query] = weights[query]
+                shard.search(query[shard.largest[query] > 0], own, found)
+                own[query] = 0
+            del shard
         at = np.repeat(np.arange(len(best)), [len(b.keys) for b in best])
         yield pa.RecordBatch.from_arrays(
             [

@@ -5,9 +5,11 @@ from __future__ import annotations
 import math
 import random
 import re
+import weakref
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sparksales.llm import ranked_search
@@ -143,3 +145,16 @@ def test_empty_tables(spark):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     assert run(odd_documents(spark).limit(0), items) == []
     assert run(odd_documents(spark), items.limit(0)) == []
+
+
+def test_a_task_holds_one_shard_at_a_time():
+    found = [np.array([0, 1, 1], np.int32), np.zeros(0, np.int32), np.array([1], np.int32)]
+    row = ranked_search._shard([5, 6, None], [3, 2, 1], found, (3, 6))
+    batch = pa.Table.from_batches([row] * 4).combine_chunks().to_batches()[0]
+    held = []
+    for shard in ranked_search.shards_of(iter([batch]), np.array([3, 2]), 12, 24):
+        assert shard.keys.tolist() == [5, 0] and shard.no_key.tolist() == [False, True]
+        assert all(earlier() is None for earlier in held)
+        held.append(weakref.ref(shard))
+        del shard
+    assert len(held) == 4
