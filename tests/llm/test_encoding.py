@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 import tiktoken
 
-from sparksales.llm import byte_bpe
+from sparksales.llm import byte_bpe, shipping
 
 from .cases import odd_documents, odd_texts
 
@@ -138,3 +138,18 @@ def test_parts_of_a_batch_are_bounded_and_whole():
         assert [row for part in parts for row in part.to_pylist()] == some.to_pylist()
         assert all(sum(len(t or "") for t in part["t"].to_pylist()[:-1]) < 100 for part in parts)
         assert len(parts) < 12
+
+
+def test_memory_is_given_back_after_each_task_and_large_group(monkeypatch):
+    given_back = []
+    monkeypatch.setattr(shipping, "release", lambda: given_back.append(1))
+    over = shipping.releasing(lambda batches: (2 * b for b in batches))
+    rows = over(iter([1, 2]))
+    assert next(rows) == 2 and not given_back
+    assert list(rows) == [4] and len(given_back) == 1
+    small, large = pa.table({"x": [1]}), pa.table({"x": np.zeros(1 << 18)})
+    assert shipping.releasing_groups(lambda table: table)(small) is small and len(given_back) == 1
+    assert shipping.releasing_groups(lambda key, table: (key, table))(1, large) == (1, large) and len(given_back) == 2
+    assert shipping.releasing_groups(lambda key, a, b: b)(1, large, small) is small and len(given_back) == 3
+    monkeypatch.undo()
+    shipping.release()
