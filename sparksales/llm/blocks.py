@@ -20,18 +20,30 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 24 << 20
+PAIR_BYTES = 4 << 10
+LEAST_PAIRS = 1 << 10
 NULL_KEY = -(1 << 63)
 
 
 def block_counts(df: DataFrame, size: Column) -> tuple[int, int]:
-    """Numbers of blocks of texts and of buckets of names, both in proportion to the texts.
-
-    Blocks outnumber shuffle partitions, which evens them out; buckets do not, because each
-    block sends a row to each bucket.
-    """
+    """Numbers of blocks of texts and of buckets of names; see ``dealt_into``."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     total = df.agg(F.sum(size.cast("double"))).first()[0] or 0.0
-    return max(4 * partitions, math.ceil(total / BLOCK_BYTES)), max(partitions, math.ceil(total / BUCKET_BYTES))
+    return dealt_into(total, partitions)
+
+
+def dealt_into(total: float, partitions: int) -> tuple[int, int]:
+    """Numbers of blocks and buckets for ``total`` bytes of texts.
+
+    Neither holds more than fits a task. Blocks outnumber shuffle partitions, which evens
+    them out; buckets do not, because each block sends a row to each bucket. What partitions
+    ask for beyond the sizes is cut until such a pair has ``PAIR_BYTES`` of texts behind it,
+    so that rows go by the texts and not by the square of the partitions.
+    """
+    least = math.ceil(total / BLOCK_BYTES), math.ceil(total / BUCKET_BYTES)
+    blocks, buckets = max(4 * partitions, least[0]), max(partitions, least[1])
+    fewer = math.sqrt(max(1.0, blocks * buckets / max(LEAST_PAIRS, total / PAIR_BYTES)))
+    return max(1, int(blocks / fewer), least[0]), max(1, int(buckets / fewer), least[1])
 
 
 def text_blocks(docs: DataFrame, text: str, key: str, keep: tuple[str, ...] = ()) -> tuple[DataFrame, int]:

@@ -9,7 +9,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from sparksales.llm import recompression, repeats, suffix_array
+from pyspark.sql import functions as F
+
+from sparksales.llm import blocks as dealing, recompression, repeats, suffix_array
 
 from .cases import odd_documents, odd_texts, sentence, words_of
 
@@ -197,3 +199,36 @@ def test_words_of_one_passage_in_many_surroundings():
     assert sorted(got) == sorted((k, removed) for k, _, removed, _ in repeated_words(rows, 20))
     assert most_under_one_name(seen[0], repeats.OPEN) <= repeats.MOST_CLASSES * blocks
     assert most_under_one_name(seen[1], repeats.OPEN) <= blocks
+
+
+@pytest.fixture
+def many_partitions(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+@pytest.mark.parametrize("module, expected, window", [(suffix_array, repeated_bytes, 200), (recompression, repeated_words, 20)])
+def test_packed_rows_do_not_grow_with_the_square_of_partitions(spark, many_partitions, monkeypatch, module, expected, window):
+    rng = random.Random(10)
+    passage = sentence(rng, 60, 10**6)
+    rows = [(i, f"{sentence(rng, 40, 10**6)} {passage if i % 3 else i} {sentence(rng, 40, 10**6)}") for i in range(1500)]
+    made, find_spans = [], module.find_spans
+    monkeypatch.setattr(module, "find_spans", lambda *given: made.append(find_spans(*given)) or made[0])
+    found = module.remove_repeats(odd_documents(spark, rows), window=window).collect()
+    kept = [(r.doc_id, r.n_removed, bytes(r["kept" if module is suffix_array else "kept_text"])) for r in found]
+    assert sorted(kept) == sorted((x[0], x[2], x[-1]) for x in expected(rows, window))
+    assert made[0].count() <= 2 * dealing.LEAST_PAIRS
+
+
+def test_blocks_and_buckets_go_by_the_texts(spark, many_partitions):
+    docs = odd_documents(spark)
+    blocks, buckets = dealing.block_counts(docs, F.octet_length("text"))
+    assert 8 <= buckets < blocks and blocks * buckets <= 1024
+    for total in (0, 5e3, 54.6e6, 109.2e6, 1.25e9, 72e9):
+        for partitions in (1, 12, 211, 2000):
+            blocks, buckets = dealing.dealt_into(total, partitions)
+            assert total <= blocks * dealing.BLOCK_BYTES and total <= buckets * dealing.BUCKET_BYTES
+            assert 1 <= blocks <= max(4 * partitions, 1 + total / dealing.BLOCK_BYTES)
+            if total < 48e9:
+                assert blocks * buckets <= max(1024, total / 4096)
